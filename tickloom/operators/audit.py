@@ -84,7 +84,7 @@ def offset_gaps(bronze: DataFrame) -> DataFrame:
 
 
 def health(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """One row per table: pass with rows, warn when empty, fail when unreadable."""
+    """One row per table: pass with rows, warn when empty, fail (and 0) when unreadable."""
     parts = []
     for name, read in tables.items():
         try:
@@ -100,7 +100,7 @@ def health(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]) -> D
             parts.append(
                 spark.range(1).select(
                     F.lit(name).alias("table_name"),
-                    F.lit(None).cast("bigint").alias("row_count"),
+                    F.lit(0).cast("bigint").alias("row_count"),
                     F.lit("fail").alias("status"),
                 )
             )

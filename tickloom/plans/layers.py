@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickloom.operators import dedup, normalize, ohlcv
 from tickloom.sinks import tables
@@ -44,11 +43,3 @@ def refresh(spark: SparkSession, root: str, prefix: str = "") -> dict[str, str]:
     staging(spark.table(names["silver"])).createOrReplaceTempView(view)
     tables.replace(spark, names["gold"], fact_trades_1h(spark.table(view)), root)
     return {**names, "staging": view}
-
-
-def incremental_silver(silver_rows: DataFrame, new_bronze: DataFrame) -> DataFrame:
-    """Silver after new Bronze rows, as one keep-latest over both."""
-    fresh = silver(new_bronze)
-    both = silver_rows.unionByName(fresh)
-    order = [F.col("kafka_timestamp").desc(), F.col("event_time").desc()]
-    return dedup.latest(both, order=order)

@@ -80,15 +80,11 @@ def write(
 ) -> None:
     """Parquet with one partition folder per value combination.
 
-    Rebalancing by the partition columns gives few files per folder and lets
-    adaptive execution split a folder that holds much of the data over tasks.
     ``sort_by`` clusters rows inside the files for row-group pruning.
     """
-    if partition_by:
-        rows = rows.hint("rebalance", *(F.col(c) for c in partition_by))
-    if sort_by:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-    rows.write.mode(mode).option("compression", CODEC).partitionBy(*partition_by).parquet(path)
+    _laid_out(rows, partition_by, sort_by).write.mode(mode).option(
+        "compression", CODEC
+    ).partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_partitions(
@@ -96,10 +92,9 @@ def overwrite_partitions(
 ) -> None:
     """Replace only the partition folders that ``rows`` has values for, so that a
     repeated run for the same day or batch leaves one copy."""
-    if sort_by:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     (
-        rows.write.mode("overwrite")
+        _laid_out(rows, partition_by, sort_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", CODEC)
         .partitionBy(*partition_by)
@@ -107,6 +102,16 @@ def overwrite_partitions(
     )
 
 
+def _laid_out(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+    """Rebalanced by the partition columns: few files per folder, and adaptive
+    execution splits a folder that holds much of the data over several tasks."""
+    if partition_by:
+        rows = rows.hint("rebalance", *(F.col(c) for c in partition_by))
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    return rows
+
+
 def view(rows: DataFrame, name: str) -> None:
     rows.createOrReplaceTempView(name)
 

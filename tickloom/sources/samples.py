@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import numbers, times
+from tickloom.operators import ohlcv
 from tickloom.schema import TRADE
 from tickloom.session import pin
 
@@ -51,7 +52,8 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redeliver(rows: DataFrame) -> DataFrame:
     """Every row, and a later second copy of each tenth trade under a new offset."""
     again = F.col("trade_id") % 10 == 0
-    copies = rows.withColumn("copy", F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    numbers_of = F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copies = rows.withColumn("copy", F.explode(numbers_of))
     is_copy = F.col("copy") == 1
     return copies.withColumns(
         {
@@ -144,3 +146,78 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     lines = F.when(F.col("trade_id") % 40 == 0, F.array(good, *broken)).otherwise(F.array(good))
     return rows.select(F.explode(lines).alias("value"))
+
+
+def kline_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles of the trades as REST answers, one per symbol and day.
+
+    An answer covers the 24 hours up to and including midnight of ``dt``, so a
+    midnight candle is in two answers, and none has more than 25 candles.
+    """
+    rows = trades(spark, sf_dir)
+    taker = ~F.col("is_buyer_maker")
+    bars = rows.groupBy("symbol", F.date_trunc("hour", "trade_time").alias("open_time")).agg(
+        F.min_by("price", ohlcv.trade_order()).alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", ohlcv.trade_order()).alias("close"),
+        numbers.exact_sum("qty").cast("double").alias("volume"),
+        numbers.exact_sum("quote_qty").cast("double").alias("quote_volume"),
+        F.count(F.lit(1)).alias("trades"),
+        numbers.exact_sum(F.when(taker, F.col("qty")).otherwise(0.0)).cast("double").alias("taker_base"),
+        numbers.exact_sum(F.when(taker, F.col("quote_qty")).otherwise(0.0))
+        .cast("double")
+        .alias("taker_quote"),
+    )
+    opened = times.to_ms("open_time")
+    number = [opened, F.col("trades"), opened + 3_600_000 - 1]
+    quoted = {
+        c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+        for c in ("open", "high", "low", "close", "volume", "quote_volume", "taker_base", "taker_quote")
+    }
+    candle = F.concat(
+        F.lit("["),
+        F.concat_ws(
+            ",",
+            number[0].cast("string"),
+            *(quoted[c] for c in ("open", "high", "low", "close", "volume")),
+            number[2].cast("string"),
+            quoted["quote_volume"],
+            number[1].cast("string"),
+            quoted["taker_base"],
+            quoted["taker_quote"],
+            F.lit('"0"'),
+        ),
+        F.lit("]"),
+    )
+    day = F.to_date("open_time")
+    midnight = F.col("open_time") == day.cast("timestamp")
+    ends = F.when(midnight, F.array(day, F.date_add(day, 1))).otherwise(F.array(F.date_add(day, 1)))
+    return (
+        bars.select("symbol", opened.alias("at"), candle.alias("c"), ends.alias("ends"))
+        .select("symbol", "at", "c", F.explode("ends").alias("dt"))
+        .groupBy("symbol", "dt")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "c"))).alias("ks"))
+        .select(
+            "symbol",
+            "dt",
+            F.concat(F.lit("["), F.array_join(F.col("ks.c"), ","), F.lit("]")).alias("body"),
+        )
+    )
+
+
+def coin_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as the coins of one market snapshot, with one member no schema knows."""
+    part = table(spark, sf_dir, "part")
+    coin = F.struct(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.col("p_brand").alias("symbol"),
+        F.col("p_name").alias("name"),
+        F.col("p_retailprice").alias("current_price"),
+        (F.col("p_retailprice") * F.col("p_size")).alias("market_cap"),
+        F.col("p_size").cast("double").alias("total_volume"),
+        F.col("p_type").alias("category"),
+    )
+    return part.select(
+        F.to_json(coin).alias("value"), F.lit("2024-01-01 05:00:00").cast("timestamp").alias("snapshot_ts")
+    )

@@ -1,0 +1,49 @@
+"""The per-symbol rate limit on a stream."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def throttle_stream(
+    trades: DataFrame,
+    interval: timedelta,
+    key: str = "symbol",
+    time: str = "trade_time",
+    tie: str = "trade_id",
+) -> DataFrame:
+    """Drops a trade unless ``interval`` has passed since the last kept one.
+
+    State is one timestamp per symbol. Trades are taken in time order within a
+    micro-batch; one that arrives in a later batch but is older than the last
+    kept trade is dropped, as its distance is not positive. On a log that is in
+    order across batches the result equals the batch operator. The rows of one
+    symbol in one micro-batch share a task, so bound the batch at the source.
+    """
+    step = interval // timedelta(microseconds=1)
+    schema = trades.schema
+
+    def pick(_: tuple, pages: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(pages)).sort_values([time, tie], kind="stable")
+        micros = rows[time].astype("datetime64[us]").astype("int64").to_numpy()
+        last = state.get[0] if state.exists else None
+        kept = []
+        for position, now in enumerate(micros):
+            if last is None or now - last >= step:
+                kept.append(position)
+                last = int(now)
+        state.update((last,))
+        yield rows.iloc[kept]
+
+    return trades.groupBy(key).applyInPandasWithState(
+        pick, schema, "last_kept bigint", "append", GroupStateTimeout.NoTimeout
+    )
