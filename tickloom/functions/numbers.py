@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UNIT = 1e8
-_LOW = 2**20
-
-
 def quote_value(price: Column, qty: Column) -> Column:
     return F.round(price * qty, 8)
 
@@ -22,16 +18,15 @@ def exact_sum(column: Column | str) -> Column:
     """Sum of a double rounded to 8 decimals, as DECIMAL(38,8).
 
     Adding doubles gives a result that depends on row order, and casting every
-    row to DECIMAL costs more than the rest of the aggregation. Counting units
-    of 1e-8 in two BIGINT sums (the high part and the low 20 bits) is exact,
-    stays in the hash aggregate, and only one decimal is built per group. A
-    total beyond about 9.6e16 raises an overflow instead of giving a wrong sum.
+    row to DECIMAL costs more than the rest of the aggregation. Three BIGINT
+    sums are exact and cheap, and one decimal is built per group: the whole
+    part, and the fraction in units of 1e-8 as a high and a low part, so that
+    neither overflows on a group of many rows.
     """
     value = F.col(column) if isinstance(column, str) else column
-    units = F.rint(value * F.lit(_UNIT))
-    high = F.floor(units / F.lit(float(_LOW)))
-    low = (units - high * F.lit(float(_LOW))).cast("bigint")
-    total = F.sum(high).cast("decimal(19,0)") * F.lit(_LOW).cast("decimal(7,0)") + F.sum(
-        low
-    ).cast("decimal(19,0)")
-    return (total * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)")
+    whole = F.floor(value)
+    units = F.rint((value - whole) * F.lit(1e8)).cast("bigint")
+    high = F.sum(F.shiftright(units, 13)).cast("decimal(19,0)") * F.lit(8192).cast("decimal(4,0)")
+    low = F.sum(units.bitwiseAND(F.lit(8191))).cast("decimal(19,0)")
+    fraction = (high + low) * F.lit("0.00000001").cast("decimal(8,8)")
+    return (F.sum(whole).cast("decimal(19,0)") + fraction).cast("decimal(38,8)")

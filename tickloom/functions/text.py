@@ -27,5 +27,7 @@ def symbol_list(symbols: str | Iterable[str]) -> list[str]:
     return cleaned
 
 
-def wanted_symbols(symbols: str | Iterable[str]) -> Column:
-    return F.upper(F.trim("symbol")).isin(symbol_list(symbols))
+def wanted_symbols(symbols: str | Iterable[str], column: str = "symbol") -> Column:
+    """Membership in the normalised list; compares the bare column, so the
+    filter reaches the partition folders or the Parquet statistics."""
+    return F.col(column).isin(symbol_list(symbols))

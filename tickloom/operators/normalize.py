@@ -21,14 +21,22 @@ def _names(*bad: Column) -> Column:
     return F.when(joined != "", joined)
 
 
+def _parsed(struct: Column) -> Column:
+    """The fields of a parsed struct as columns.
+
+    A generator is not merged into its neighbours, so a message is parsed once;
+    a plain ``struct.*`` is parsed again for every use of every field.
+    """
+    return F.inline_outer(F.array(struct))
+
+
 def decode_log(records: DataFrame) -> DataFrame:
     """Log records to Bronze columns, plus the raw value and ``bad_fields``."""
-    rows = records.select(
-        F.from_json(F.col("value").cast("string"), TRADE).alias("v"),
+    checked = records.select(
+        _parsed(F.from_json(F.col("value").cast("string"), TRADE)),
         F.col("value").cast("string").alias("raw"),
         *(F.col(source).alias(name) for name, source in _POSITION.items()),
-    )
-    checked = rows.select("v.*", *_POSITION, "raw")
+    ).select(*TRADE.fieldNames(), *_POSITION, "raw")
     bad = _names(
         *(F.when(F.col(f).isNull(), F.lit(f)) for f in TRADE.fieldNames() if f != "ingested_at"),
         *(
@@ -49,24 +57,24 @@ def decode_feed(lines: DataFrame) -> DataFrame:
     """
     inner = F.get_json_object("raw", "$.data")
     keys = F.json_object_keys("raw")
-    message = (
-        lines.select(F.col("value").alias("raw"))
-        # Cast by position: the one-letter names differ only in case.
-        .withColumn("d", F.from_json(F.coalesce(inner, "raw"), FEED).cast(FEED_NAMES))
-    )
     no_object = keys.isNull() | (
         F.array_contains(keys, "data") & F.json_object_keys(inner).isNull()
     )
+    raw = lines.select(F.col("value").alias("raw"))
+    # Cast by position: the one-letter names differ only in case.
+    message = raw.select(
+        "raw", _parsed(F.from_json(F.coalesce(inner, "raw"), FEED).cast(FEED_NAMES))
+    )
     fields = message.select(
         "raw",
-        F.col("d.kind").alias("kind"),
-        F.expr("try_cast(d.trade_id AS BIGINT)").alias("trade_id"),
-        F.col("d.symbol").alias("symbol"),
-        numbers.finite(F.expr("try_cast(d.price AS DOUBLE)")).alias("price"),
-        numbers.finite(F.expr("try_cast(d.qty AS DOUBLE)")).alias("qty"),
-        F.expr("try_cast(d.trade_time_ms AS BIGINT)").alias("trade_time_ms"),
-        F.expr("try_cast(d.event_time_ms AS BIGINT)").alias("event_time_ms"),
-        F.col("d.is_buyer_maker").alias("is_buyer_maker"),
+        "kind",
+        F.expr("try_cast(trade_id AS BIGINT)").alias("trade_id"),
+        "symbol",
+        numbers.finite(F.expr("try_cast(price AS DOUBLE)")).alias("price"),
+        numbers.finite(F.expr("try_cast(qty AS DOUBLE)")).alias("qty"),
+        F.expr("try_cast(trade_time_ms AS BIGINT)").alias("trade_time_ms"),
+        F.expr("try_cast(event_time_ms AS BIGINT)").alias("event_time_ms"),
+        "is_buyer_maker",
     )
     needed = [f for f in TRADE.fieldNames() if f not in ("quote_qty", "ingested_at")]
     missing = _names(*(F.when(F.col(f).isNull(), F.lit(f)) for f in needed))

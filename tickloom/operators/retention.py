@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from tickloom.functions.times import instant
 
 
-def alive(as_of: datetime | Column, time: str = "trade_time", days: int = 7) -> Column:
-    """A row lives until ``days`` after its time, cut to whole seconds."""
-    expiry = F.date_trunc("second", time) + F.make_dt_interval(days=F.lit(days))
-    return expiry > instant(as_of)
+def alive(as_of: datetime, time: str = "trade_time", days: int = 7) -> Column:
+    """A row lives while its time, cut to whole seconds, plus ``days`` is after ``as_of``.
+
+    Solved for the time, so that the bare column is compared with a constant and
+    the filter can be pushed into the scan.
+    """
+    first = (as_of - timedelta(days=days)).replace(microsecond=0) + timedelta(seconds=1)
+    return F.col(time) >= instant(first)
 
 
 def unexpired(

@@ -199,7 +199,7 @@ WHERE date_trunc('second', trade_time) + INTERVAL 7 DAY > {_AS_OF}""",
     "throttle_5s": _throttle("INTERVAL 5 SECOND"),
     "throttle_5m": _throttle("INTERVAL 5 MINUTE"),
     "trades_of_symbols": f"""WITH {TRADES}
-SELECT symbol, trade_id, price FROM trades WHERE UPPER(TRIM(symbol)) IN ('CLICK', 'PURCHASE')""",
+SELECT UPPER(symbol) AS symbol, trade_id, price FROM trades WHERE symbol IN ('click', 'purchase')""",
     "decoded_log": f"WITH {BRONZE} {_WIRE}",
     "hot_rows": f"""WITH {BRONZE}
 SELECT trade_id, symbol, price, qty, quote_qty, trade_time, event_time, is_buyer_maker,
@@ -224,7 +224,7 @@ taken AS (
   FROM trades GROUP BY ALL)
 SELECT epoch_ms(opened) AS open_time_ms, open, high, low, close, volume,
        epoch_ms(opened) + 3599999 AS close_time_ms, quote_volume, trade_count AS trades,
-       taker_buy_base, taker_buy_quote, symbol,
+       taker_buy_base, taker_buy_quote, UPPER(symbol) AS symbol,
        CAST(CAST(opened AS DATE) + 1 AS DATE) AS dt, FALSE AS page_full
 FROM hours JOIN taken USING (symbol, opened)""",
     "market_topk": """

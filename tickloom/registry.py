@@ -237,7 +237,7 @@ def throttle_5m(spark, sf_dir):
 
 @query
 def trades_of_symbols(spark, sf_dir):
-    rows = samples.trades(spark, sf_dir).select("symbol", "trade_id", "price")
+    rows = samples.trades(spark, sf_dir).select(F.upper("symbol").alias("symbol"), "trade_id", "price")
     return rows.where(text.wanted_symbols(" click, Purchase ,,"))
 
 
