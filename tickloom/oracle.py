@@ -182,6 +182,14 @@ SELECT trade_id, symbol, price, qty AS quantity, quote_qty AS quote_quantity, tr
     "ohlcv_1d_ties": f"WITH {LINE_TRADES} {_bars('line_trades', 'day', 'bucket_day')}",
     "ohlcv_1m": f"WITH {TRADES} {_bars('trades', 'minute', 'bucket_ts')}",
     "ohlcv_1h_from_states": f"WITH {TRADES} {_bars('trades', 'hour', 'bucket_ts')}",
+    "compacted_states": f"""WITH {TRADES}
+SELECT symbol, date_trunc('minute', trade_time) AS bucket_ts,
+       arg_min(price, (trade_time, trade_id)) AS open_price,
+       MIN((trade_time, trade_id))[1] AS open_time, MIN((trade_time, trade_id))[2] AS open_id,
+       arg_max(price, (trade_time, trade_id)) AS close_price,
+       MAX((trade_time, trade_id))[1] AS close_time, MAX((trade_time, trade_id))[2] AS close_id,
+       COUNT(*) AS trade_count
+FROM trades GROUP BY ALL""",
     "latest_price": f"WITH {TRADES} {_LATEST}",
     "panel_latest_price": f"WITH {TRADES} SELECT symbol, price FROM ({_LATEST})",
     "last_not_null_price": f"WITH {TRADES} SELECT symbol, arg_max(price, trade_id) AS price FROM trades GROUP BY symbol",
@@ -235,6 +243,11 @@ SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS symbol, p_name AS name,
        CAST(ROW_NUMBER() OVER (ORDER BY p_retailprice * p_size DESC, CAST(p_partkey AS VARCHAR))
             AS INTEGER) AS rank
 FROM part ORDER BY rank LIMIT 250""",
+    "ensured_bronze": f"WITH {BRONZE} {_PROFILE}",
+    "refreshed_gold": f"WITH {SILVER} {_bars('silver', 'hour', 'bucket_hour')}",
+    "published_stream": f"""WITH {BRONZE}
+SELECT symbol || ':' || trade_id AS key, * EXCLUDE (kafka_partition, kafka_offset, kafka_timestamp)
+FROM ({_WIRE})""",
     "silver_incremental": f"WITH {SILVER} SELECT * FROM silver",
     "stream_bronze": f"WITH {BRONZE} {_PROFILE}",
     "committed_rows": f"WITH {BRONZE} SELECT COUNT(*) AS added FROM bronze",

@@ -12,6 +12,7 @@ from tickloom.functions import text
 from tickloom.operators import audit, dedup, latest, normalize, ohlcv, quality, retention, snapshots
 from tickloom.operators.throttle import throttle
 from tickloom.plans import layers, maintenance, serving
+from tickloom.schema import BRONZE, TRADE
 from tickloom.session import pin, scratch
 from tickloom.sinks import tables
 from tickloom.sources import samples
@@ -35,19 +36,17 @@ def query(function: Query) -> Query:
     return function
 
 
-def newest(rows: DataFrame, time: str = "trade_time") -> datetime:
-    """The reference instant of a table: its largest time, one value."""
-    micros = rows.agg(F.max(F.unix_micros(time)).alias("us")).first()["us"]
-    return _EPOCH + timedelta(microseconds=micros)
-
-
 def as_of(spark: SparkSession, sf_dir: str) -> datetime:
-    return newest(samples.trades(spark, sf_dir).select("trade_time"))
+    """The instant that stands for "now": the largest trade time, one value."""
+    times = samples.trades(spark, sf_dir).agg(F.max(F.unix_micros("trade_time")).alias("us"))
+    return _EPOCH + timedelta(microseconds=times.first()["us"])
 
 
-def minute_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+def minute_states(
+    spark: SparkSession, sf_dir: str, after: datetime | None = None
+) -> DataFrame:
     """State rows as separate blocks leave them: one set per log partition."""
-    return ohlcv.partial(samples.trades(spark, sf_dir), extra=["kafka_partition"])
+    return ohlcv.partial(samples.trades(spark, sf_dir, after), extra=["kafka_partition"])
 
 
 def price_states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +159,23 @@ def ohlcv_1h_from_states(spark, sf_dir):
     return ohlcv.bars(minute_states(spark, sf_dir), unit="hour")
 
 
+@query
+def compacted_states(spark, sf_dir):
+    """The state rows that compaction leaves: one per symbol and minute."""
+    merged = ohlcv.merge_states(minute_states(spark, sf_dir))
+    return merged.select(
+        "symbol",
+        "bucket_ts",
+        "open_price",
+        F.col("open_key.trade_time").alias("open_time"),
+        F.col("open_key.trade_id").alias("open_id"),
+        "close_price",
+        F.col("close_key.trade_time").alias("close_time"),
+        F.col("close_key.trade_id").alias("close_id"),
+        "trade_count",
+    )
+
+
 @query
 def latest_price(spark, sf_dir):
     return serving.latest_price(price_states(spark, sf_dir))
@@ -175,49 +191,44 @@ def last_not_null_price(spark, sf_dir):
     return latest.last_not_null(samples.trades(spark, sf_dir), "price", "trade_id", ["symbol"])
 
 
-def _recent_bars(minutes):
-    return lambda spark, sf_dir: serving.ohlcv_recent(
-        minute_states(spark, sf_dir), as_of(spark, sf_dir), minutes
-    )
+def _recent_states(panel, minutes):
+    def run(spark, sf_dir):
+        now = as_of(spark, sf_dir)
+        states = minute_states(spark, sf_dir, after=now - timedelta(minutes=minutes))
+        return panel(states, now, minutes)
 
+    return run
 
-def _recent_close(minutes):
-    return lambda spark, sf_dir: serving.panel_close(
-        minute_states(spark, sf_dir), as_of(spark, sf_dir), minutes
-    )
-
-
-def _recent_volume(minutes):
-    return lambda spark, sf_dir: serving.panel_volume(
-        minute_states(spark, sf_dir), as_of(spark, sf_dir), minutes
-    )
 
+def _recent_count(panel, minutes):
+    def run(spark, sf_dir):
+        now = as_of(spark, sf_dir)
+        hot = samples.redeliver(samples.trades(spark, sf_dir, now - timedelta(minutes=minutes)))
+        return panel(hot, now, minutes)
 
-def _recent_count(minutes):
-    return lambda spark, sf_dir: serving.panel_trade_count(
-        samples.redeliver(samples.trades(spark, sf_dir)), as_of(spark, sf_dir), minutes
-    )
+    return run
 
 
-for _name, _make, _minutes in (
-    ("ohlcv_1m_last30", _recent_bars, 30),
-    ("ohlcv_1m_last24h", _recent_bars, 1440),
-    ("panel_close_1m", _recent_close, 30),
-    ("panel_close_1m_24h", _recent_close, 1440),
-    ("panel_volume_1m", _recent_volume, 30),
-    ("panel_volume_1m_24h", _recent_volume, 1440),
-    ("panel_trade_count_15m", _recent_count, 15),
-    ("panel_trade_count_24h", _recent_count, 1440),
+for _name, _make, _panel, _minutes in (
+    ("ohlcv_1m_last30", _recent_states, serving.ohlcv_recent, 30),
+    ("ohlcv_1m_last24h", _recent_states, serving.ohlcv_recent, 1440),
+    ("panel_close_1m", _recent_states, serving.panel_close, 30),
+    ("panel_close_1m_24h", _recent_states, serving.panel_close, 1440),
+    ("panel_volume_1m", _recent_states, serving.panel_volume, 30),
+    ("panel_volume_1m_24h", _recent_states, serving.panel_volume, 1440),
+    ("panel_trade_count_15m", _recent_count, serving.panel_trade_count, 15),
+    ("panel_trade_count_24h", _recent_count, serving.panel_trade_count, 1440),
 ):
-    _run = _make(_minutes)
+    _run = _make(_panel, _minutes)
     _run.__name__ = _name
     query(_run)
 
 
 @query
 def hot_retention_7d(spark, sf_dir):
-    rows = samples.trades(spark, sf_dir).select("symbol", "trade_id", "trade_time")
-    return retention.unexpired(rows, newest(rows))
+    now = as_of(spark, sf_dir)
+    rows = samples.trades(spark, sf_dir, after=now - timedelta(days=7))
+    return retention.unexpired(rows.select("symbol", "trade_id", "trade_time"), now)
 
 
 @query
@@ -307,6 +318,40 @@ def market_topk(spark, sf_dir):
 # --- Tables and streams; each run writes below its own fresh scratch folder
 
 
+def _database(spark):
+    return f"tickloom_{scratch(spark, 'db')[-12:]}_"
+
+
+@query
+def ensured_bronze(spark, sf_dir):
+    """Created when missing, found on the second call, then filled."""
+    root, name = scratch(spark, "tables"), f"{_database(spark)}bronze.trades"
+    for _ in range(2):
+        tables.ensure(spark, name, BRONZE, root, ["symbol"])
+    tables.append(spark, name, samples.bronze(spark, sf_dir))
+    return audit.profile(spark.table(name))
+
+
+@query
+def refreshed_gold(spark, sf_dir):
+    """Bronze, Silver and Gold as catalog tables with the staging view between."""
+    root, prefix = scratch(spark, "tables"), _database(spark)
+    tables.replace(spark, f"{prefix}bronze.trades", samples.bronze(spark, sf_dir), root, ["symbol"])
+    return spark.table(layers.refresh(spark, root, prefix)["gold"])
+
+
+@query
+def published_stream(spark, sf_dir):
+    """Messages written by the streaming publisher, decoded again."""
+    path = scratch(spark, "topic")
+    jobs.publish_messages(
+        _streamed_bronze(spark, sf_dir), path, f"{path}-checkpoint", interval=None
+    ).awaitTermination()
+    messages = spark.read.schema("key string, value string").json(path)
+    trade = F.from_json("value", TRADE)
+    return messages.select("key", F.inline(F.array(trade)))
+
+
 @query
 def silver_incremental(spark, sf_dir):
     """Silver built from first deliveries, then merged with the redelivered rows."""

@@ -44,8 +44,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"{CHECKPOINT_CONF} must name a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
     return base
 
 

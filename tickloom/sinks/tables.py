@@ -19,6 +19,13 @@ from tickloom.schema import ddl
 CODEC = "zstd"
 
 
+def ensure_database(spark: SparkSession, table: str, root: str) -> None:
+    database = table.rpartition(".")[0]
+    if database:
+        location = f"{root.rstrip('/')}/{database.replace('.', '/')}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+
+
 def ensure(
     spark: SparkSession,
     name: str,
@@ -27,9 +34,7 @@ def ensure(
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Create database and table when missing; an existing table is left alone."""
-    database = name.rpartition(".")[0]
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_database(spark, name, root)
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet {parts} "
@@ -61,9 +66,7 @@ def replace(
         return
     path = _version(root, name)
     write(rows, path, partition_by, mode="errorifexists")
-    database = name.rpartition(".")[0]
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_database(spark, name, root)
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({ddl(rows.schema)}) USING parquet {parts} LOCATION '{path}'")
@@ -87,6 +90,11 @@ def write(
     ).partitionBy(*partition_by).parquet(path)
 
 
+def append(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """Append to an existing table, matching columns by name."""
+    rows.select(*spark.table(name).columns).write.insertInto(name)
+
+
 def overwrite_partitions(
     rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
 ) -> None:
@@ -112,10 +120,6 @@ def _laid_out(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[st
     return rows
 
 
-def view(rows: DataFrame, name: str) -> None:
-    rows.createOrReplaceTempView(name)
-
-
 def partition_layout(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Which partition folders exist and how many files each holds."""
     files = rows.select(*partition_by, F.input_file_name().alias("file")).distinct()

@@ -84,6 +84,39 @@ def quarantine(decoded_rows: DataFrame, path: str, checkpoint: str, interval: st
     return _trigger(writer, interval).start()
 
 
+def publish_messages(
+    trades: DataFrame, path: str, checkpoint: str, interval: str | None = HOT_INTERVAL
+) -> StreamingQuery:
+    """Normalised trades as keyed messages into a folder of JSON lines."""
+    writer = (
+        normalize.to_messages(trades)
+        .writeStream.format("json")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _trigger(writer, interval).start()
+
+
+def publish_kafka(
+    trades: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    interval: str | None = HOT_INTERVAL,
+) -> StreamingQuery:
+    """The same messages to a topic; needs the connector (untested here)."""
+    writer = (
+        normalize.to_messages(trades)
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .options(**publish.PRODUCER)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _trigger(writer, interval).start()
+
+
 @dataclass(frozen=True)
 class HotTables:
     """Folders the hot path writes: raw trades, one-minute states, latest prices."""
@@ -117,7 +150,7 @@ def hot_path(
         rows = dedup.first_seen(rows, dedup_delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_hot_batch(batch, batch_id, into, distinct=dedup_delay is not None, jdbc=jdbc)
+        write_hot_batch(batch, batch_id, into, distinct=False, jdbc=jdbc)
 
     return _start(rows, write, checkpoint, interval)
 
@@ -129,10 +162,16 @@ def write_hot_batch(
     distinct: bool = True,
     jdbc: dict[str, str] | None = None,
 ) -> None:
-    """All writes of one micro-batch, each into folders named by the batch id."""
+    """All writes of one micro-batch, each into folders named by the batch id.
+
+    ``distinct`` removes copies inside the block, for blocks that did not pass
+    the streaming dedup.
+    """
     rows = dedup.latest(batch) if distinct else batch
     rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
     try:
+        if rows.isEmpty():  # a batch that only moves the watermark
+            return
         by_day = rows.withColumn("dt", F.to_date("trade_time"))
         tables.overwrite_partitions(
             by_day, into.raw, ["dt", "batch_id"], sort_by=["symbol", "trade_id"]
