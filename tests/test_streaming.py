@@ -63,9 +63,9 @@ def test_commits_are_logged_per_batch(spark, topic, tmp_path):
 def test_hot_path_equals_batch(spark, sf_dir, topic, tmp_path):
     path, deliver = topic
     into, check = jobs.HotTables.under(str(tmp_path / "hot")), str(tmp_path / "check")
-    jobs.hot_path(bronze_stream(spark, path), into, check, None, "60 days").awaitTermination()
+    jobs.hot_path(bronze_stream(spark, path), into, check, None).awaitTermination()
     deliver(1)
-    jobs.hot_path(bronze_stream(spark, path), into, check, None, "60 days").awaitTermination()
+    jobs.hot_path(bronze_stream(spark, path), into, check, None).awaitTermination()
     trades = samples.trades(spark, sf_dir)
     assertDataFrameEqual(
         ohlcv.bars(spark.read.parquet(into.minute)), ohlcv.bars(ohlcv.partial(trades)), rtol=0, atol=0
@@ -76,6 +76,27 @@ def test_hot_path_equals_batch(spark, sf_dir, topic, tmp_path):
     assert spark.read.parquet(into.raw).count() == trades.count()
 
 
+def test_arrival_dedup_loses_no_old_rows(spark, tmp_path):
+    path = tmp_path / "in"
+    for day in ("2024-06-01", "2020-01-01", "2024-06-01"):
+        row = spark.createDataFrame([("A", int(day[:4]), day)], "symbol string, trade_id int, t string")
+        row.select("symbol", "trade_id", F.col("t").cast("timestamp").alias("kafka_timestamp")).write.mode(
+            "append"
+        ).parquet(str(path))
+        time.sleep(1.1)
+    schema = spark.read.parquet(str(path)).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(path))
+    query = (
+        dedup.first_seen(stream, "10 minutes")
+        .writeStream.format("memory")
+        .queryName("arrivals")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert sorted(r.trade_id for r in spark.table("arrivals").collect()) == [2020, 2024]
+
+
 def test_replayed_batch_changes_nothing(spark, sf_dir, tmp_path):
     into = jobs.HotTables.under(str(tmp_path / "hot"))
     hot = normalize.to_hot(samples.bronze(spark, sf_dir))

@@ -31,7 +31,8 @@ from tickloom.session import scratch
 # The pandas functions below travel to the executors by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_MINUTE = 60_000_000
+_CHUNK = 15 * 60_000_000  # microseconds; at most 900,000 instants of one millisecond
+_BROADCAST_ROWS = 500_000  # two columns: some 20 MB
 _FUNCTION = "upto array<bigint>, gate array<bigint>"
 _OPEN = np.iinfo(np.int64).min
 
@@ -98,20 +99,17 @@ def throttle(
 ) -> DataFrame:
     """The kept trades, whole rows. The first trade of a symbol is always kept;
     of several at one instant the smallest ``tie`` counts. A zero interval is off.
+    Rows without symbol or time are malformed and belong in the quarantine.
     """
     step = interval // timedelta(microseconds=1)
     if step <= 0:
         return trades
-    width = max(step, min(64 * step, 15 * _MINUTE))
-
-    same_instant = Window.partitionBy("_key", "_us").orderBy(tie)
-    candidates = (
-        trades.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .withColumns({"_key": F.col(key), "_us": F.unix_micros(F.col(time).cast("timestamp"))})
-        .withColumn("_rn", F.row_number().over(same_instant))
-        .where("_rn = 1")
-        .drop("_rn")
+    width = max(step, _CHUNK)
+
+    keyed = trades.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumns(
+        {"_key": F.col(key), "_us": F.unix_micros(F.col(time).cast("timestamp"))}
     )
+    instants = keyed.select("_key", "_us").distinct()
 
     @F.pandas_udf(f"struct<{_FUNCTION}>".replace(" array", ":array"))
     def chunk_function(times: pd.Series, node: pd.Series) -> pd.DataFrame:
@@ -122,7 +120,7 @@ def throttle(
         return pd.DataFrame({"upto": [m[0] for m in made], "gate": [m[1] for m in made]})
 
     chunks = _saved(
-        candidates.groupBy("_key", _block("_us", width).alias("node"))
+        instants.groupBy("_key", _block("_us", width).alias("node"))
         .agg(F.sort_array(F.collect_list("_us")).alias("times"))
         .withColumn("f", chunk_function("times", "node"))
         .select("_key", "node", "times", "f.upto", "f.gate")
@@ -166,7 +164,7 @@ def throttle(
             gate = _after(np.asarray(upto, np.int64), np.asarray(out, np.int64), gate)
         return pd.DataFrame({"_key": pdf["_key"], "node": pdf["node"], "entry": entries})
 
-    key_type = candidates.schema["_key"].dataType.simpleString()
+    key_type = keyed.schema["_key"].dataType.simpleString()
     up = f"_key {key_type}, node bigint, {_FUNCTION}"
     down = f"_key {key_type}, node bigint, entry bigint"
     parent = _block("node", fan_in).alias("parent")
@@ -201,8 +199,20 @@ def throttle(
             kept.append(np.array(picked, np.int64))
         return pd.Series(kept)
 
-    kept = (
+    kept = _saved(
         chunks.join(entries, ["_key", "node"])
         .select("_key", F.explode(keep("times", "entry")).alias("_us"))
     )
-    return candidates.join(kept, ["_key", "_us"], "left_semi").drop("_key", "_us")
+
+    def one_per_instant(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy("_key", "_us").orderBy(tie)
+        return rows.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+
+    on = ["_key", "_us"]
+    if kept.count() <= _BROADCAST_ROWS:
+        chosen = one_per_instant(keyed.join(F.broadcast(kept), on, "left_semi"))
+    else:
+        # The limit per instant comes first: it runs before the shuffle, so that
+        # an instant with very many rows does not meet in one task.
+        chosen = one_per_instant(keyed).join(kept, on, "left_semi")
+    return chosen.drop("_key", "_us")

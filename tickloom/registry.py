@@ -288,15 +288,8 @@ def feed_counters(spark, sf_dir):
 def published_messages(spark, sf_dir):
     """What is published, read back from the JSON text."""
     messages = normalize.to_messages(samples.bronze(spark, sf_dir))
-    field = lambda name, kind: F.get_json_object("value", f"$.{name}").cast(kind).alias(name)
-    return messages.select(
-        "key",
-        field("trade_id", "bigint"),
-        field("symbol", "string"),
-        field("price", "double"),
-        field("qty", "double"),
-        field("trade_time_ms", "bigint"),
-        field("is_buyer_maker", "boolean"),
+    return messages.select("key", F.inline(F.array(F.from_json("value", TRADE)))).drop(
+        "quote_qty", "event_time_ms", "ingested_at"
     )
 
 
