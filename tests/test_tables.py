@@ -133,10 +133,23 @@ def test_compact_files(spark, sf_dir, tmp_path):
     assert spark.read.parquet(path).count() == rows.count()
 
 
+def test_compact_files_keeps_the_batch_level(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = samples.trades(spark, sf_dir).withColumns(
+        {"dt": F.to_date("trade_time"), "batch_id": F.pmod("trade_id", F.lit(3))}
+    )
+    tables.overwrite_partitions(rows, path, ["dt", "batch_id"])
+    maintenance.compact_files(spark, f"{path}/dt=2024-01-03", ["symbol", "trade_id"])
+    stored = spark.read.parquet(path)
+    assertDataFrameEqual(stored.drop("batch_id"), rows.drop("batch_id"))
+    day = stored.where("dt = DATE '2024-01-03'")
+    assert [r.batch_id for r in day.select("batch_id").distinct().collect()] == [-1]
+
+
 def test_expiry(spark, sf_dir, tmp_path):
     as_of = datetime(2024, 1, 20, 12, 0, 0, 500000, tzinfo=timezone.utc)
     rows = samples.trades(spark, sf_dir).withColumn("dt", F.to_date("trade_time"))
-    kept = retention.unexpired(rows, as_of, date="dt")
+    kept = retention.unexpired(rows, as_of, date_column="dt")
     rule = "date_trunc('second', trade_time) + INTERVAL 7 DAYS > TIMESTAMP '2024-01-20 12:00:00.5'"
     assert kept.count() == rows.where(rule).count() > 0
     tables.replace(spark, "expiry.trades", rows, str(tmp_path), ["dt"])

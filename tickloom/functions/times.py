@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,10 +40,15 @@ def hour_label(ts: Column | str) -> Column:
     return F.date_format(ts, "HH")
 
 
-def instant(as_of: datetime | Column) -> Column:
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+def utc(as_of: datetime) -> datetime:
+    """The instant in UTC; one without a zone is taken as UTC."""
+    return as_of.astimezone(timezone.utc) if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
 
 
-def newer_than(ts: str, as_of: datetime | Column, minutes: int) -> Column:
+def instant(as_of: datetime) -> Column:
+    return F.lit(utc(as_of)).cast("timestamp")
+
+
+def newer_than(ts: str, as_of: datetime, minutes: int) -> Column:
     """``ts > as_of - minutes``."""
-    return F.col(ts) > instant(as_of) - F.make_dt_interval(mins=F.lit(minutes))
+    return F.col(ts) > instant(utc(as_of) - timedelta(minutes=minutes))

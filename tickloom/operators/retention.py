@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import instant
+from tickloom.functions.times import instant, utc
 
 
 def alive(as_of: datetime, time: str = "trade_time", days: int = 7) -> Column:
@@ -25,15 +25,15 @@ def unexpired(
     as_of: datetime,
     time: str = "trade_time",
     days: int = 7,
-    date: str | None = None,
+    date_column: str | None = None,
 ) -> DataFrame:
-    """Rows that have not expired; ``date`` names a partition column to prune by."""
+    """Rows that have not expired; ``date_column`` is a partition to prune by."""
     kept = rows.where(alive(as_of, time, days))
-    if date is not None:
-        kept = kept.where(F.col(date) >= F.lit(oldest_date(as_of, days)))
+    if date_column is not None:
+        kept = kept.where(F.col(date_column) >= F.lit(oldest_date(as_of, days)))
     return kept
 
 
-def oldest_date(as_of: datetime, days: int = 7):
+def oldest_date(as_of: datetime, days: int = 7) -> date:
     """The earliest date that can still hold an unexpired row."""
-    return (as_of - timedelta(days=days)).date()
+    return (utc(as_of) - timedelta(days=days)).date()

@@ -7,13 +7,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions import times
 from tickloom.operators import dedup, ohlcv
 from tickloom.operators.retention import oldest_date
 from tickloom.plans import layers
 from tickloom.session import scratch
 from tickloom.sinks import tables
 
-TARGET_FILE_BYTES = 256 * 1024 * 1024
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def compact_states(spark: SparkSession, path: str, day: date) -> None:
@@ -30,14 +31,20 @@ def compact_states(spark: SparkSession, path: str, day: date) -> None:
 def compact_files(
     spark: SparkSession, folder: str, sort_by: list[str] | None = None, target: int = TARGET_FILE_BYTES
 ) -> int:
-    """Rewrite one partition folder into files of about ``target`` bytes."""
+    """Rewrite one partition folder into files of about ``target`` bytes.
+
+    The folder must be closed to writers. A batch level below it becomes the
+    single batch -1, so that all folders of the table keep one layout.
+    """
     rows = spark.read.parquet(folder)
+    levels = ["batch_id"] if "batch_id" in rows.columns else []
+    rows = rows.withColumns({c: F.lit(-1).cast("bigint") for c in levels})
     files = max(1, -(-folder_bytes(spark, folder) // target))
     if sort_by:
         rows = rows.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by)
     else:
         rows = rows.repartition(files)
-    _swap_folder(rows, folder)
+    _swap_folder(rows, folder, levels)
     return files
 
 
@@ -72,7 +79,17 @@ def merge_silver(spark: SparkSession, path: str, new_bronze: DataFrame) -> None:
     """
     fresh = layers.silver(new_bronze).withColumn("dt", F.to_date("trade_time"))
     touched = fresh.select("symbol", "dt").distinct()
-    stored = spark.read.schema(fresh.schema).parquet(path).join(touched, ["symbol", "dt"], "left_semi")
+    days = new_bronze.select(F.to_date(times.from_ms("trade_time_ms")).alias("dt"))
+    span = days.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
+    if span["first"] is None:
+        return
+    # The date range prunes folders when the query is planned, the join the rest.
+    stored = (
+        spark.read.schema(fresh.schema)
+        .parquet(path)
+        .where(F.col("dt").between(F.lit(span["first"]), F.lit(span["last"])))
+        .join(touched, ["symbol", "dt"], "left_semi")
+    )
     newest = [F.col("kafka_timestamp").desc(), F.col("_new").desc()]
     merged = dedup.latest(
         stored.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1))),
@@ -86,7 +103,9 @@ def rebuild_states(silver: DataFrame, path: str, day: date) -> None:
 
     Repairs volumes after copies that came later than the stream's dedup delay.
     """
-    states = ohlcv.partial(silver.where(F.to_date("trade_time") == F.lit(day)))
+    start = F.lit(day).cast("timestamp")
+    inside = (F.col("trade_time") >= start) & (F.col("trade_time") < start + F.make_dt_interval(F.lit(1)))
+    states = ohlcv.partial(silver.where(inside))
     states = states.withColumn("batch_id", F.lit(-1).cast("bigint"))
     _swap_folder(states, f"{path}/dt={day.isoformat()}", ["batch_id"])
 

@@ -12,14 +12,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import newer_than
+from tickloom.functions.times import newer_than, utc
 from tickloom.operators import dedup, latest, ohlcv
 
 
 def recent(rows: DataFrame, time: str, as_of: datetime, minutes: int) -> DataFrame:
     found = rows.where(newer_than(time, as_of, minutes))
     if "dt" in rows.columns:
-        found = found.where(F.col("dt") >= F.lit((as_of - timedelta(minutes=minutes)).date()))
+        found = found.where(F.col("dt") >= F.lit((utc(as_of) - timedelta(minutes=minutes)).date()))
     return found
 
 
