@@ -170,3 +170,22 @@ def test_throttled_stream_equals_batch(spark, sf_dir, tmp_path, interval):
     )
     query.awaitTermination()
     assertDataFrameEqual(spark.table(name), throttle(trades, interval))
+
+
+def test_distributed_throttle_over_batches_and_replay(spark, sf_dir, tmp_path):
+    trades = samples.trades(spark, sf_dir).select("symbol", "trade_id", "trade_time", "price")
+    path, interval = str(tmp_path / "kept"), timedelta(minutes=30)
+    parts = [F.col("trade_id") < 300, F.col("trade_id").between(300, 310), F.col("trade_id") > 310]
+    for batch_id in (0, 1, 1, 2, 2):
+        jobs.throttle_batch(trades.where(parts[batch_id]), batch_id, interval, path)
+    kept = spark.read.parquet(path).drop("batch_id")
+    assertDataFrameEqual(kept, throttle(trades, interval))
+
+
+def test_distributed_throttle_with_an_empty_batch(spark, sf_dir, tmp_path):
+    trades = samples.trades(spark, sf_dir).select("symbol", "trade_id", "trade_time", "price")
+    path, interval = str(tmp_path / "kept"), timedelta(minutes=5)
+    for batch_id, part in enumerate([trades, trades.where("false"), trades]):
+        jobs.throttle_batch(part, batch_id, interval, path)
+    kept = spark.read.parquet(path).drop("batch_id")
+    assertDataFrameEqual(kept, throttle(trades, interval))

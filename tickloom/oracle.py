@@ -258,6 +258,7 @@ SELECT DISTINCT symbol, CAST(kafka_timestamp AS DATE) AS dt FROM bronze""",
     "stream_windowed_bars": f"""WITH {TRADES}, {_MINUTES}
 SELECT symbol, bucket_ts, open, high, low, close, volume, trade_count
 FROM minutes WHERE bucket_ts + INTERVAL 1 MINUTE <= {_AS_OF} - INTERVAL 1 MINUTE""",
+    "stream_throttle_5m": _throttle("INTERVAL 5 MINUTE"),
     "stream_dedup": f"WITH {TRADES} SELECT symbol, trade_id, price, qty FROM trades",
     "unique_bronze": f"""WITH {BRONZE}
 SELECT symbol, trade_id, COUNT(*) AS n FROM bronze GROUP BY ALL HAVING COUNT(*) > 1""",

@@ -432,6 +432,17 @@ def stream_windowed_bars(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def stream_throttle_5m(spark, sf_dir):
+    path = scratch(spark, "throttled")
+    events = samples.stream_table(spark, sf_dir, "events", maxFilesPerTrigger="1000")
+    rows = samples.trades_of(events).select("symbol", "trade_id", "trade_time", "price")
+    jobs.throttled(
+        rows, timedelta(minutes=5), path, f"{path}-checkpoint", interval=None
+    ).awaitTermination()
+    return spark.read.parquet(path).drop("batch_id")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     path = scratch(spark, "dedup")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tickloom.operators import dedup, latest, normalize, ohlcv
+from tickloom.operators.throttle import throttle
 from tickloom.sinks import publish, tables
 
 COLD_INTERVAL = "30 seconds"
@@ -185,6 +187,54 @@ def write_hot_batch(
         rows.unpersist()
 
 
+def throttled(
+    trades: DataFrame,
+    limit: timedelta,
+    path: str,
+    checkpoint: str,
+    interval: str | None = HOT_INTERVAL,
+) -> StreamingQuery:
+    """The per-symbol rate limit on a stream, with the distributed batch operator.
+
+    Rows of a busy symbol are spread over tasks. The last kept time of every
+    symbol lives beside the output, one small set of rows per batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        throttle_batch(batch, batch_id, limit, path)
+
+    return _start(trades, write, checkpoint, interval)
+
+
+def throttle_batch(batch: DataFrame, batch_id: int, limit: timedelta, path: str) -> None:
+    """One micro-batch: what is older than ``limit`` after the last kept trade of
+    earlier batches cannot be kept; the rest starts afresh. Replays see the same
+    earlier batches and rewrite their own folders.
+    """
+    spark = batch.sparkSession
+    last_path, own = f"{path}-last", F.lit(batch_id).cast("bigint")
+    rows = batch
+    if batch_id > 0:
+        last = (
+            spark.read.schema("symbol string, last_kept timestamp, batch_id bigint")
+            .parquet(last_path)
+            .where(F.col("batch_id") < batch_id)
+            .groupBy("symbol")
+            .agg(F.max("last_kept").alias("last_kept"))
+        )
+        open_again = F.col("last_kept") + F.make_dt_interval(secs=F.lit(limit.total_seconds()))
+        rows = (
+            batch.join(last, "symbol", "left")
+            .where(F.col("last_kept").isNull() | (F.col("trade_time") >= open_again))
+            .select(*batch.columns)
+        )
+    kept = throttle(rows, limit).withColumn("batch_id", own)
+    tables.overwrite_partitions(kept, path, ["batch_id"])
+    written = spark.read.schema(kept.schema).parquet(path).where(F.col("batch_id") == batch_id)
+    last = written.groupBy("symbol").agg(F.max("trade_time").alias("last_kept"))
+    tables.overwrite_partitions(last.withColumn("batch_id", own), last_path, ["batch_id"])
+
+
 def windowed_bars(trades: DataFrame, delay: str, window: str = "1 minute") -> DataFrame:
     """Bounded alternative to the states: finished bars only, late trades dropped."""
     return (
