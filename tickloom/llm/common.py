@@ -59,7 +59,9 @@ def steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[list]:
         yield texts[start:].to_pylist()
 
 
-def on_texts(work: Callable[[list], pa.Array], kind: pa.DataType) -> Callable[[Column], Column]:
+def on_texts(
+    work: Callable[[list], pa.Array], kind: pa.DataType, limit: int = STEP_BYTES
+) -> Callable[[Column], Column]:
     """A column function from texts (as UTF-8 bytes, or None) to what `work` makes of a list of them.
 
     It counts as nondeterministic only so that the optimizer never runs it twice.
@@ -67,7 +69,7 @@ def on_texts(work: Callable[[list], pa.Array], kind: pa.DataType) -> Callable[[C
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [work(part) for part in steps(batch)]
+            parts = [work(part) for part in steps(batch, limit)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import simhash
-from tickloom.llm.common import table
+from tickloom.llm import decontaminate, language, mixing, quality, repetition, secrets, simhash
+from tickloom.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +20,30 @@ def query(function: Query) -> Query:
     return function
 
 
+def learnable(rows: DataFrame) -> DataFrame:
+    """Rows outside the held-out fold; a row without an id is in neither."""
+    return rows.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+
+
+def fields(struct: str, *names: str) -> list:
+    return [F.col(struct)[name].alias(name) for name in names]
+
+
+@query
+def op1_language_mixture(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(learnable(docs))
+    found = docs.select("doc_id", language.identify(docs, model, F.col("text")).alias("found"))
+    mixture = F.transform("found.mixture", lambda x: F.concat_ws(":", x["language"], F.round(x["share"], 4)))
+    return found.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("found.language").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.concat_ws(",", mixture).alias("mixture"),
+    )
+
+
 @query
 def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
@@ -27,3 +51,63 @@ def op2_simhash_near_dedup(spark, sf_dir):
         simhash.hexed(F.col("point")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op3_source_mixing(spark, sf_dir):
+    plan = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.taken(plan).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source"
+    )
+
+
+@query
+def op5_suffix_repetition(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", repetition.measures(F.col("text")).alias("found"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select("doc_id", *fields("found", *names, "n_covered", "longest_repeat"))
+
+
+@query
+def op6_quality_ranking(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = learnable(table(spark, sf_dir, "labels").where("quality is not null"))
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
+    ranking = quality.fit(labelled, "doc_id", "text", "quality")
+    scored = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        quality.score(ranking, F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
+@query
+def op8_benchmark_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.hits(docs, table(spark, sf_dir, "benchmark"), "found")
+    return found.select(
+        "doc_id",
+        *fields("found", "n_words", "n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        decontaminate.items_digest(F.col("found.items")).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op10_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secrets.spans(F.col("text")).alias("found"))
+    counts = [
+        F.size(secrets.of_kind(F.col("found"), kind)).cast("long").alias(f"n_{kind}")
+        for kind in secrets.BASE_KINDS
+    ]
+    base = secrets.listed(secrets.of_kind(F.col("found"), *secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.listed(F.col("found")).alias("spans"),
+    )
