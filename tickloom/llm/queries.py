@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, decontaminate, extraction, language, mixing, quality, repetition, secrets, simhash
+from tickloom.llm import chat, decontaminate, extraction, language, mixing, passages, quality, repetition, secrets, simhash
 from tickloom.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,18 @@ def op6_quality_ranking(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+@query
+def op7_repeated_passages(spark, sf_dir):
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("class").alias("class_id"),
+        "n_links",
+        F.col("n_words").alias("n_repeated_words"),
+        F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"]))).alias("spans"),
+    )
+
+
 @query
 def op8_benchmark_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
