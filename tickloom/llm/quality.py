@@ -16,6 +16,7 @@ with the least hash of their id. Share and quantile are taken over all labelled
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import fresh, on_texts
+from tickloom.llm.common import fresh, on_texts, written
 
 SAMPLE = 10_000
 #: Pairs for each sampled document of the larger class.
@@ -155,51 +156,55 @@ def learn(good: np.ndarray, bad: np.ndarray) -> Ranking:
     return Ranking(mean, deviation, weights)
 
 
-def _raw_column(ranking: Ranking, method: str) -> Column:
-    def work(texts: list[bytes | None]) -> pa.Array:
-        return pa.array(getattr(ranking, method)(_vectors(texts)))
+def vectors(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, x): the features of every document, written once. They are all that is joined with labels,
+    so no text is shuffled."""
+    rows = docs.select(F.col(id_column).alias("id"), feature_column(F.col(text_column)).alias("x"))
+    return written(rows, "features")
 
-    return on_texts(work, pa.float64())
 
+def _ranked(ranking: Ranking, method: str, x: Column) -> Column:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = np.asarray(batch.flatten()).reshape(-1, len(FEATURES))
+            yield pa.array(getattr(ranking, method)(found))
 
-def fit(labelled: DataFrame, id_column: str, text_column: str, label_column: str) -> Ranking:
-    """Learn from rows with a label of 0 or 1. Other labels and null ids are left out.
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, returnType="double")(x)
 
-    Without a label of either kind there is nothing to rank: every weight is zero, all documents
-    score CUT and are kept.
+
+def score(ranking: Ranking, x: Column) -> Column:
+    """0 to 1; a text without words has the score of zero features."""
+    return _ranked(ranking, "score", x)
+
+
+def fit(known: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality") -> Ranking:
+    """Learn from vectors (id, x) whose id has a label of 0 or 1.
+
+    Other labels and null ids are left out; an id with several labels counts once for each. Without a
+    label of either kind there is nothing to rank: every weight is zero, all documents score CUT and
+    are kept.
     """
-    rows = labelled.select(
-        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label")
-    ).where("label in (0, 1) and id is not null")
+    chosen = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label"))
+    rows = written(known.join(chosen.where("label in (0, 1)"), "id"), "labelled")
     sampled = {}
     for label in (0, 1):
-        chosen = (
-            rows.where(F.col("label") == label)
-            .orderBy(F.xxhash64("id"), F.xxhash64("text"))
-            .limit(SAMPLE)
-            .select(feature_column(F.col("text")).alias("x"))
-        )
-        sampled[label] = np.array([r["x"] for r in chosen.collect()]).reshape(-1, len(FEATURES))
+        least = rows.where(F.col("label") == label).orderBy(F.xxhash64("id"), F.xxhash64("x")).limit(SAMPLE)
+        sampled[label] = np.array([r["x"] for r in least.select("x").collect()]).reshape(-1, len(FEATURES))
     ranking = learn(sampled[1], sampled[0])
     if not len(sampled[0]) or not len(sampled[1]):
         return ranking
-    scored = rows.select("label", _raw_column(ranking, "raw")(F.col("text")).alias("raw"))
-    counts = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == 0).cast("long")).alias("bad")
-    ).first()
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == 0).cast("long")).alias("bad")).first()
     share = [counts["bad"] / counts["n"], min(1.0, (counts["bad"] + 1) / counts["n"])]
+    scored = rows.select(_ranked(ranking, "raw", F.col("x")).alias("raw"))
     below, above = scored.agg(F.percentile_approx("raw", share, 100_000)).first()[0]
     ranking.threshold = (below + above) / 2
     return ranking
 
 
-def score(ranking: Ranking, text: Column) -> Column:
-    """0 to 1; a text without words has the score of zero features."""
-    return _raw_column(ranking, "score")(text)
-
-
 def keep(docs: DataFrame, ranking: Ranking, text_column: str = "text") -> DataFrame:
     """The documents that score CUT or more, all columns as they are."""
     (name,) = fresh(docs, "score")
-    scored = docs.withColumn(name, score(ranking, F.col(text_column)))
+    kept = on_texts(lambda texts: pa.array(ranking.score(_vectors(texts))), pa.float64())
+    scored = docs.withColumn(name, kept(F.col(text_column)))
     return scored.where(F.col(name) >= CUT).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -78,14 +78,12 @@ def op5_suffix_repetition(spark, sf_dir):
 
 @query
 def op6_quality_ranking(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    labels = learnable(table(spark, sf_dir, "labels").where("quality is not null"))
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
-    ranking = quality.fit(labelled, "doc_id", "text", "quality")
-    scored = docs.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        quality.score(ranking, F.col("text")).alias("score"),
+    known = quality.vectors(table(spark, sf_dir, "documents"))
+    ranking = quality.fit(known, learnable(table(spark, sf_dir, "labels")))
+    scored = known.select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id")).alias("held_out"),
+        quality.score(ranking, F.col("x")).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
