@@ -16,9 +16,8 @@ from tickloom.llm.queries import learnable
 
 def rank_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pairwise ranking accepts; it learns from the labels of the same documents."""
-    labels = learnable(table(spark, sf_dir, "labels")).select("doc_id", "quality")
-    labelled = docs.select("doc_id", "text").join(labels, "doc_id")
-    return quality.keep(docs, quality.fit(labelled, "doc_id", "text", "quality"))
+    labels = learnable(table(spark, sf_dir, "labels"))
+    return quality.keep(docs, quality.fit(quality.vectors(docs), labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
