@@ -223,7 +223,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         "number", "start", "size", "block_words",
         F.explode(F.sequence(F.expr("start div block_words"), last)).alias("block"),
     )
-    met = slots.join(pieces, ["number", "block"]).select(
+    # Spark takes the slots for as few as the groups they are drawn from; they grow with the corpus.
+    met = slots.hint("merge").join(pieces, ["number", "block"]).select(
         "shard", "slot", "number", "start",
         F.greatest(F.lit(0), F.expr("block * block_words - start")).alias("first"),
         F.least(F.col("size"), F.expr("block * block_words + words - start")).alias("stop"),
