@@ -72,6 +72,12 @@ def test_exact_sum_edges(spark):
     large = spark.range(1000).selectExpr("9e12D + id / 8 AS x")
     assert str(large.agg(ohlcv.exact_sum("x")).first()[0]) == "9000000000062437.50000000"
     assert rows.where("x IS NULL").agg(ohlcv.exact_sum("x")).first()[0] is None
+    # Half a unit goes up as in DECIMAL; huge values add up, and what is no number below 1e20 does not.
+    odd = spark.createDataFrame([(5e-9,), (1.5,), (1e19,), (float("nan"),), (float("inf"),), (-1e300,)], "x double")
+    assert str(odd.agg(ohlcv.exact_sum("x")).first()[0]) == "10000000000000000001.50000001"
+    many = spark.range(20000).selectExpr("(rand(3) - 0.4) * pow(10, id % 9) AS x").cache()
+    decimal = many.agg(F.sum(F.col("x").cast("decimal(28,8)"))).first()[0]
+    assert many.agg(ohlcv.exact_sum("x")).first()[0] == decimal
 
 
 def test_latest_price_ignores_late_blocks(spark, sf_dir):

@@ -58,6 +58,35 @@ def test_range_and_page_limit(spark):
     found = {r.symbol: (r["count"], r.page) for r in rows.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("count"), F.max("page_full").alias("page")).collect()}
     assert found == {"A": (1, False), "B": (1000, True)}
+    bad = snapshots.rejected(snapshots.decode_klines(answers), "symbol").collect()
+    assert sorted((r.symbol, r.bad_fields) for r in bad) == [
+        ("A", "out of range"), ("A", "out of range"), ("C", "not an array of candles"),
+    ]
+    assert {r.raw for r in bad if r.symbol == "C"} == {"broken"}
+
+
+def test_bad_coins_are_set_aside_with_their_text(spark, tmp_path):
+    landing = tmp_path / "market" / "dt=2024-01-01" / "hour=05"
+    landing.mkdir(parents=True)
+    (landing / "20240101T051500.json").write_text('[{"id":"a","market_cap":"x"}, 7, {"symbol":"s"}, {"id":"b"}]')
+    (landing / "20240101T053000.json").write_text('{"status":"error"}')
+    decoded = snapshots.decode_coins(landed.market_objects(spark, str(tmp_path / "market")))
+    bad = {(r.raw, r.bad_fields) for r in snapshots.rejected(decoded).collect()}
+    assert bad == {
+        ('{"id":"a","market_cap":"x"}', "market_cap"), ("7", "not an object"), ('{"symbol":"s"}', "id"),
+        ('{"status":"error"}', "id"),
+    }
+    assert [r.id for r in snapshots.usable(decoded).collect()] == ["b"]
+    assert {str(r.snapshot_ts) for r in decoded.collect()} == {"2024-01-01 05:15:00", "2024-01-01 05:30:00"}
+
+
+def test_two_snapshots_of_one_hour(spark, tmp_path):
+    landing = tmp_path / "market" / "dt=2024-01-01" / "hour=05"
+    landing.mkdir(parents=True)
+    for minute in ("00", "15"):
+        (landing / f"20240101T05{minute}00.json").write_text('[{"id":"a","market_cap":5.0},{"id":"b","market_cap":4.0}]')
+    top = snapshots.market_top(snapshots.coins(landed.market_objects(spark, str(tmp_path / "market"))), 2).collect()
+    assert [(r.snapshot_ts.minute, r.id) for r in top] == [(0, "a"), (0, "b"), (15, "a"), (15, "b")]
 
 
 def test_market_files(spark, tmp_path):

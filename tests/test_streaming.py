@@ -9,10 +9,11 @@ from pyspark.testing import assertDataFrameEqual
 
 from tickloom.operators import audit, dedup, latest, normalize, ohlcv
 from tickloom.operators.throttle import throttle
+from tickloom.plans import maintenance
+from tickloom.sinks import storage
 from tickloom.sources import log, samples
 from tickloom.streaming import jobs
 from tickloom.streaming.metrics import IngestTotals
-from tickloom.streaming.stateful import throttle_stream
 
 
 @pytest.fixture()
@@ -38,28 +39,46 @@ def bronze_stream(spark, path):
     return normalize.valid(jobs.decoded(log.file_log(spark, path)))
 
 
-def test_bronze_survives_restart(spark, sf_dir, topic, tmp_path):
+def land(spark, topic_path, out, check):
+    rows = jobs.decoded(log.file_log(spark, topic_path))
+    jobs.land_bronze(rows, out, f"{out}-bad", f"{out}-commits", check, interval=None).awaitTermination()
+
+
+def test_bronze_and_quarantine_survive_restart(spark, sf_dir, topic, tmp_path):
     path, deliver = topic
     out, check = str(tmp_path / "bronze"), str(tmp_path / "check")
     for part in (None, 1, None):
         if part is not None:
             deliver(part)
-        jobs.append_bronze(bronze_stream(spark, path), out, check, interval=None).awaitTermination()
+        land(spark, path, out, check)
     stored = spark.read.parquet(out).select(*samples.bronze(spark, sf_dir).columns)
     assertDataFrameEqual(stored, samples.bronze(spark, sf_dir))
+    assert sorted(r.raw for r in spark.read.parquet(f"{out}-bad").collect()) == ["oops", "{}"]
 
 
 def test_commits_are_logged_per_batch(spark, topic, tmp_path):
     path, deliver = topic
-    out, commits, check = (str(tmp_path / n) for n in ("bronze", "commits", "check"))
-    jobs.land_bronze(bronze_stream(spark, path), out, commits, check, interval=None).awaitTermination()
+    out, check = str(tmp_path / "bronze"), str(tmp_path / "check")
+    land(spark, path, out, check)
     deliver(1)
-    jobs.land_bronze(bronze_stream(spark, path), out, commits, check, interval=None).awaitTermination()
-    history = audit.commit_history(spark.read.parquet(commits)).collect()
+    land(spark, path, out, check)
+    history = audit.commit_history(spark.read.parquet(f"{out}-commits")).collect()
     assert [r.snapshot_id for r in history] == [0, 1]
     assert sum(int(r.added) for r in history) == spark.read.parquet(out).count()
 
 
+def test_landed_bronze_may_be_compacted_and_landed_on(spark, sf_dir, topic, tmp_path):
+    path, deliver = topic
+    out, check = str(tmp_path / "bronze"), str(tmp_path / "check")
+    land(spark, path, out, check)
+    for symbol in storage.values(spark, out, "symbol"):
+        maintenance.compact_files(spark, f"{out}/symbol={symbol}", ["trade_id"])
+    deliver(1)
+    land(spark, path, out, check)
+    stored = spark.read.parquet(out).select(*samples.bronze(spark, sf_dir).columns)
+    assertDataFrameEqual(stored, samples.bronze(spark, sf_dir))
+
+
 def test_hot_path_equals_batch(spark, sf_dir, topic, tmp_path):
     path, deliver = topic
     into, check = jobs.HotTables.under(str(tmp_path / "hot")), str(tmp_path / "check")
@@ -68,10 +87,10 @@ def test_hot_path_equals_batch(spark, sf_dir, topic, tmp_path):
     jobs.hot_path(bronze_stream(spark, path), into, check, None).awaitTermination()
     trades = samples.trades(spark, sf_dir)
     assertDataFrameEqual(
-        ohlcv.bars(spark.read.parquet(into.minute)), ohlcv.bars(ohlcv.partial(trades)), rtol=0, atol=0
+        ohlcv.bars(jobs.minute_states(spark, into)), ohlcv.bars(ohlcv.partial(trades)), rtol=0, atol=0
     )
     assertDataFrameEqual(
-        latest.prices(spark.read.parquet(into.latest)), latest.prices(latest.partial(trades))
+        latest.prices(jobs.price_states(spark, into)), latest.prices(latest.partial(trades))
     )
     assert spark.read.parquet(into.raw).count() == trades.count()
 
@@ -97,35 +116,39 @@ def test_arrival_dedup_loses_no_old_rows(spark, tmp_path):
     assert sorted(r.trade_id for r in spark.table("arrivals").collect()) == [2020, 2024]
 
 
-def test_replayed_batch_changes_nothing(spark, sf_dir, tmp_path):
+def test_replays_and_old_copies_change_nothing(spark, sf_dir, tmp_path):
     into = jobs.HotTables.under(str(tmp_path / "hot"))
     hot = normalize.to_hot(samples.bronze(spark, sf_dir))
     split = F.col("trade_id") < 500
-    for batch_id, part in ((0, split), (1, ~split), (1, ~split), (0, split)):
+    for batch_id, part in ((0, split), (1, ~split), (1, ~split), (2, split), (3, F.lit(True)), (3, F.lit(True))):
         jobs.write_hot_batch(hot.where(part), batch_id, into)
-    bars = ohlcv.bars(spark.read.parquet(into.minute))
-    assertDataFrameEqual(bars, ohlcv.bars(ohlcv.partial(samples.trades(spark, sf_dir))), rtol=0, atol=0)
+    trades = samples.trades(spark, sf_dir)
+    bars = ohlcv.bars(jobs.minute_states(spark, into))
+    assertDataFrameEqual(bars, ohlcv.bars(ohlcv.partial(trades)), rtol=0, atol=0)
+    assert spark.read.parquet(into.raw).count() == trades.count()
 
 
-def test_without_dedup_copies_are_counted(spark, sf_dir, tmp_path):
+def test_states_do_not_grow_with_batches(spark, sf_dir, tmp_path):
     into = jobs.HotTables.under(str(tmp_path / "hot"))
-    hot = normalize.to_hot(samples.bronze(spark, sf_dir))
-    jobs.write_hot_batch(hot, 0, into, distinct=False)
-    counted = spark.read.parquet(into.minute).agg(F.sum("trade_count")).first()[0]
-    assert counted == hot.count() > dedup.latest(hot).count()
-
-
-def test_quarantine_and_totals(spark, topic, tmp_path):
+    hot = normalize.to_hot(samples.bronze(spark, sf_dir)).where("to_date(trade_time) = '2024-01-03'")
+    for batch_id in range(6):
+        jobs.write_hot_batch(hot.where(F.pmod("trade_id", F.lit(6)) == batch_id), batch_id, into)
+        states = jobs.minute_states(spark, into)
+        assert states.count() == states.select("symbol", "bucket_ts").distinct().count()
+        assert jobs.price_states(spark, into).groupBy("symbol").count().where("count > 1").isEmpty()
+    assert len(storage.values(spark, f"{into.minute}/dt=2024-01-03", "batch_id")) <= 2
+    assert len(storage.values(spark, into.latest, "batch_id")) <= 2
+    right = ohlcv.partial(dedup.latest(hot))
+    assertDataFrameEqual(ohlcv.bars(jobs.minute_states(spark, into)), ohlcv.bars(right), rtol=0, atol=0)
+
+
+def test_totals(spark, topic, tmp_path):
     path, deliver = topic
     deliver(1)
     listener = IngestTotals()
     spark.streams.addListener(listener)
     try:
-        rows = jobs.decoded(log.file_log(spark, path))
-        out = str(tmp_path / "bad")
-        jobs.quarantine(rows, out, str(tmp_path / "check"), interval=None).awaitTermination()
-        bad = spark.read.parquet(out)
-        assert bad.count() == 2
+        land(spark, path, str(tmp_path / "out"), str(tmp_path / "check"))
         wait = time.time() + 20
         while listener.totals["errors"] < 2 and time.time() < wait:
             time.sleep(0.2)
@@ -135,6 +158,19 @@ def test_quarantine_and_totals(spark, topic, tmp_path):
         spark.streams.removeListener(listener)
 
 
+@pytest.mark.parametrize("window", ["1 minute", "1 hour"])
+def test_windowed_bars_keep_late_trades_and_the_last_window(spark, sf_dir, tmp_path, window):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    trades = samples.trades(spark, sf_dir)
+    for part in range(3):  # the oldest come last
+        trades.where(F.col("trade_id").between(700 - 350 * part, 1049 - 350 * part)).write.mode("append").parquet(path)
+        rows = spark.readStream.schema(trades.schema).parquet(path)
+        jobs.windowed_bars(rows, out, str(tmp_path / "check"), window, interval=None).awaitTermination()
+    found = storage.read_versions(spark, out, storage.newest_versions(spark, out))
+    right = ohlcv.bars(ohlcv.partial(trades.where("trade_id < 1050"), window.split()[1]))
+    assertDataFrameEqual(ohlcv.bars(found), right, rtol=0, atol=0)
+
+
 def test_feed_stream(spark, sf_dir, tmp_path):
     path = str(tmp_path / "feed")
     samples.feed_lines(spark, sf_dir).write.text(path)
@@ -149,29 +185,6 @@ def test_feed_stream(spark, sf_dir, tmp_path):
     assert spark.table("feed_rows").count() == samples.trades(spark, sf_dir).count()
 
 
-@pytest.mark.parametrize("interval", [timedelta(seconds=5), timedelta(minutes=30)])
-def test_throttled_stream_equals_batch(spark, sf_dir, tmp_path, interval):
-    trades = samples.trades(spark, sf_dir).select("symbol", "trade_id", "trade_time", "price")
-    path = tmp_path / "trades"
-    # Two files in time order, read as two micro-batches.
-    for part in (F.col("trade_id") < 500, F.col("trade_id") >= 500):
-        trades.where(part).coalesce(1).write.mode("append").parquet(str(path))
-        time.sleep(1.1)
-    stream = spark.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(str(path))
-    name = f"throttled_{interval.seconds}"
-    query = (
-        throttle_stream(stream, interval)
-        .writeStream.format("memory")
-        .queryName(name)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .option("checkpointLocation", str(tmp_path / "check"))
-        .start()
-    )
-    query.awaitTermination()
-    assertDataFrameEqual(spark.table(name), throttle(trades, interval))
-
-
 def test_distributed_throttle_over_batches_and_replay(spark, sf_dir, tmp_path):
     trades = samples.trades(spark, sf_dir).select("symbol", "trade_id", "trade_time", "price")
     path, interval = str(tmp_path / "kept"), timedelta(minutes=30)
@@ -180,6 +193,9 @@ def test_distributed_throttle_over_batches_and_replay(spark, sf_dir, tmp_path):
         jobs.throttle_batch(trades.where(parts[batch_id]), batch_id, interval, path)
     kept = spark.read.parquet(path).drop("batch_id")
     assertDataFrameEqual(kept, throttle(trades, interval))
+    assert len(storage.values(spark, f"{path}-last", "batch_id")) <= 2
+    counted = spark.read.parquet(f"{path}-throttled").agg(F.sum("received"), F.sum("sent"), F.sum("throttled")).first()
+    assert tuple(counted) == (trades.count(), kept.count(), trades.count() - kept.count())
 
 
 def test_distributed_throttle_with_an_empty_batch(spark, sf_dir, tmp_path):

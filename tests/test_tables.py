@@ -10,7 +10,7 @@ from tickloom.operators import audit, dedup, normalize, ohlcv, quality, retentio
 from tickloom.plans import layers, maintenance, serving
 from tickloom.schema import BRONZE
 from tickloom.session import scratch, shared_dir
-from tickloom.sinks import publish, tables
+from tickloom.sinks import publish, storage, tables
 from tickloom.sources import jdbc, samples
 
 
@@ -40,9 +40,11 @@ def test_refresh_builds_all_layers(spark, sf_dir, tmp_path):
     assert names == again
     expected = layers.fact_trades_1h(layers.staging(layers.silver(bronze)))
     assertDataFrameEqual(spark.table("gold.fact_trades_1h"), expected, rtol=0, atol=0)
-    parts = spark.sql("SHOW PARTITIONS silver.trades").count()
-    assert parts == bronze.select("symbol").distinct().count()
-    report = audit.reconcile(spark.table("bronze.trades"), spark.table("silver.trades"))
+    versions = storage.folders(spark, str(tmp_path / "gold" / "fact_trades_1h"))
+    assert len(versions) == 2
+    layers.refresh(spark, str(tmp_path))
+    assert versions[1] in storage.folders(spark, str(tmp_path / "gold" / "fact_trades_1h")) != versions
+    report = audit.reconcile(spark.table("bronze.trades"))
     assert report.agg(F.sum("removed")).first()[0] == bronze.count() - spark.table("silver.trades").count()
 
 
@@ -110,7 +112,7 @@ def test_rebuilding_a_day_repairs_double_counts(spark, sf_dir, tmp_path):
 
 def test_merge_touches_only_its_folders(spark, sf_dir, tmp_path):
     path = str(tmp_path / "silver")
-    first = layers.silver(samples.as_bronze(samples.trades(spark, sf_dir)))
+    first = layers.silver(samples.as_bronze(samples.trades(spark, sf_dir)), positions=True)
     tables.write(first.withColumn("dt", F.to_date("trade_time")), path, ["symbol", "dt"])
     before = {r.path for r in files(spark, path).select("path").collect()}
     newer = samples.as_bronze(samples.trades(spark, sf_dir)).where("symbol = 'click'")
@@ -152,12 +154,32 @@ def test_expiry(spark, sf_dir, tmp_path):
     kept = retention.unexpired(rows, as_of, date_column="dt")
     rule = "date_trunc('second', trade_time) + INTERVAL 7 DAYS > TIMESTAMP '2024-01-20 12:00:00.5'"
     assert kept.count() == rows.where(rule).count() > 0
-    tables.replace(spark, "expiry.trades", rows, str(tmp_path), ["dt"])
-    dropped = maintenance.expire_partitions(spark, "expiry.trades", as_of)
-    assert dropped[-1] == "2024-01-12"
-    left = spark.table("expiry.trades")
-    assert left.agg(F.min("dt")).first()[0] == date(2024, 1, 13)
-    assert retention.unexpired(left, as_of).count() == kept.count()
+    rows = rows.withColumn("batch_id", F.pmod("trade_id", F.lit(3)))
+    for way in ("table", "folders"):
+        path = str(tmp_path / way)
+        tables.overwrite_partitions(rows, path, ["dt", "batch_id"])
+        if way == "table":
+            spark.sql("CREATE DATABASE IF NOT EXISTS expiry")
+            spark.sql(f"CREATE TABLE expiry.trades USING parquet LOCATION '{path}'")
+            spark.sql("MSCK REPAIR TABLE expiry.trades")
+            dropped = maintenance.expire_partitions(spark, "expiry.trades", as_of)
+            assert spark.sql("SHOW PARTITIONS expiry.trades").where("partition < 'dt=2024-01-13'").isEmpty()
+        else:
+            dropped = maintenance.expire_folders(spark, path, as_of)
+        assert dropped[-1] == "2024-01-12"
+        left = spark.read.parquet(path)
+        assert left.count() == rows.where("dt >= DATE '2024-01-13'").count() < rows.count()
+        assert retention.unexpired(left, as_of).count() == kept.count()
+        assert files(spark, path).where("path LIKE '%dt=2024-01-0%'").isEmpty()
+
+
+def test_a_rewrite_that_broke_off_is_put_back(spark, tmp_path):
+    folder = str(tmp_path / "t" / "dt=2024-01-01")
+    spark.range(3).write.parquet(folder)
+    storage.rename(spark, folder, str(tmp_path / "t" / "_old-dt=2024-01-01"))
+    maintenance.recover_folder(spark, folder)
+    maintenance.recover_folder(spark, folder)
+    assert spark.read.parquet(folder).count() == 3
 
 
 def test_expiry_edge(spark):
@@ -188,9 +210,12 @@ def test_health_levels(spark, tmp_path):
         "full": lambda: spark.range(3),
         "empty": lambda: spark.range(0),
         "gone": lambda: spark.read.parquet(str(tmp_path / "nowhere")),
+        "corrupt": lambda: spark.read.schema("id long").parquet(str(tmp_path / "corrupt")),
     }
+    (tmp_path / "corrupt").mkdir()
+    (tmp_path / "corrupt" / "part-0.parquet").write_bytes(b"no parquet at all")
     found = {r.table_name: r.status for r in audit.health(spark, readers).collect()}
-    assert found == {"full": "pass", "empty": "warn", "gone": "fail"}
+    assert found == {"full": "pass", "empty": "warn", "gone": "fail", "corrupt": "fail"}
 
 
 def test_quality(spark):

@@ -56,14 +56,6 @@ def test_deep_tree(spark, rows):
     assert sorted(tuple(r) for r in got) == sequential(rows, interval)
 
 
-def test_large_result_joins_after_the_limit(spark, rows, monkeypatch):
-    monkeypatch.setattr("tickloom.operators.throttle._BROADCAST_ROWS", 10)
-    frame = spark.createDataFrame(rows, SCHEMA)
-    interval = timedelta(seconds=5)
-    got = throttle(frame, interval).select("symbol", "trade_id").collect()
-    assert sorted(tuple(r) for r in got) == sequential(rows, interval)
-
-
 def test_off_and_empty(spark, rows):
     frame = spark.createDataFrame(rows[:100], SCHEMA)
     assert throttle(frame, timedelta(0)).count() == 100

@@ -15,18 +15,22 @@ def finite(value: Column) -> Column:
 
 
 def exact_sum(column: Column | str) -> Column:
-    """Sum of a double rounded to 8 decimals, as DECIMAL(38,8).
+    """Sum of a double rounded half up to 8 decimals, as DECIMAL(38,8).
 
-    Adding doubles gives a result that depends on row order, and casting every
-    row to DECIMAL costs more than the rest of the aggregation. Three BIGINT
-    sums are exact and cheap, and one decimal is built per group: the whole
-    part, and the fraction in units of 1e-8 as a high and a low part, so that
-    neither overflows on a group of many rows.
+    Adding doubles gives a result that depends on row order, and casting every row to DECIMAL costs
+    more than the rest of the aggregation. So values below a million whose 1e-8 units are clearly
+    nearer to one whole number are added as integers, in a high and a low part that cannot
+    overflow; larger values and those about halfway between two units go through DECIMAL. Values that
+    are no finite number below 1e20 are not added: the decoders have set them aside before.
     """
     value = F.col(column) if isinstance(column, str) else column
-    whole = F.floor(value)
-    units = F.rint((value - whole) * F.lit(1e8)).cast("bigint")
-    high = F.sum(F.shiftright(units, 13)).cast("decimal(19,0)") * F.lit(8192).cast("decimal(4,0)")
-    low = F.sum(units.bitwiseAND(F.lit(8191))).cast("decimal(19,0)")
-    fraction = (high + low) * F.lit("0.00000001").cast("decimal(8,8)")
-    return (F.sum(whole).cast("decimal(19,0)") + fraction).cast("decimal(38,8)")
+    units = value * F.lit(1e8)
+    plain = (F.abs(value) < 1e6) & (F.abs(units - F.floor(units) - 0.5) > 0.05)
+    whole = F.when(plain, F.rint(units).cast("bigint"))
+    high = F.sum(F.shiftright(whole, 27)).cast("decimal(18,0)") * F.lit(1 << 27).cast("decimal(9,0)")
+    low = F.sum(whole.bitwiseAND(F.lit((1 << 27) - 1))).cast("decimal(18,0)")
+    # One digit less than the widest type, or the sum of both parts would lose its last decimal.
+    fast = ((high + low) * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(37,8)")
+    odd = F.when(~plain & (F.abs(value) < 1e20), value)
+    slow = F.sum(odd.try_cast("decimal(28,8)")).cast("decimal(37,8)")
+    return F.coalesce(fast + slow, fast, slow).cast("decimal(38,8)")

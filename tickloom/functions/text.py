@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,7 +27,9 @@ def symbol_list(symbols: str | Iterable[str]) -> list[str]:
     return cleaned
 
 
-def wanted_symbols(symbols: str | Iterable[str], column: str = "symbol") -> Column:
-    """Membership in the normalised list; compares the bare column, so the
-    filter reaches the partition folders or the Parquet statistics."""
-    return F.col(column).isin(symbol_list(symbols))
+def wanted_symbols(
+    symbols: str | Iterable[str], column: str = "symbol", stored: Callable[[str], str] = str.upper
+) -> Column:
+    """Membership in the normalised list. The list is brought to the case the column is ``stored`` in, and
+    the bare column compared, so the filter reaches the partition folders or the Parquet statistics."""
+    return F.col(column).isin([stored(symbol) for symbol in symbol_list(symbols)])

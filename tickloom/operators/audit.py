@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,15 +28,16 @@ def profile(bronze: DataFrame) -> DataFrame:
     )
 
 
-def reconcile(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Rows per symbol in both layers; only the two small counts are joined."""
-    left = bronze.groupBy("symbol").agg(F.count(F.lit(1)).alias("bronze_rows"))
-    right = silver.groupBy("symbol").agg(F.count(F.lit(1)).alias("silver_rows"))
-    return (
-        left.join(right, "symbol", "full_outer")
-        .fillna(0, ["bronze_rows", "silver_rows"])
-        .withColumn("removed", F.col("bronze_rows") - F.col("silver_rows"))
+def reconcile(bronze: DataFrame) -> DataFrame:
+    """Rows per symbol, and how many are left when redelivered ones are removed.
+
+    Counting needs no whole rows: one row per trade goes on, then one per symbol.
+    """
+    trades = bronze.groupBy("symbol", "trade_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = trades.groupBy("symbol").agg(
+        F.sum("n").alias("bronze_rows"), F.count(F.lit(1)).alias("silver_rows")
     )
+    return counted.withColumn("removed", F.col("bronze_rows") - F.col("silver_rows"))
 
 
 def offset_coverage(bronze: DataFrame) -> DataFrame:
@@ -66,48 +68,37 @@ def offset_coverage(bronze: DataFrame) -> DataFrame:
 def offset_gaps(bronze: DataFrame) -> DataFrame:
     """Where each run of missing offsets begins.
 
-    An anti join of the offsets with their own successors: the keys are spread
-    evenly, where a window per log partition would sort it in one task.
+    Every offset names its successor, the last one of a log partition itself (it ends no gap). A
+    successor that nobody is begins a gap. Keys are spread evenly, where a window per log partition
+    would sort it in one task.
     """
-    present = bronze.select("kafka_partition", "kafka_offset").distinct()
-    last = bronze.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("last_offset"))
-    starts = (
-        present.select("kafka_partition", (F.col("kafka_offset") + 1).alias("kafka_offset"))
-        .join(present, ["kafka_partition", "kafka_offset"], "left_anti")
-        .withColumnRenamed("kafka_offset", "gap_start")
-    )
+    offsets = bronze.select("kafka_partition", "kafka_offset")
+    last = offsets.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("last"))
+    named = offsets.select(
+        "kafka_partition", F.explode(F.array(F.lit(0), F.lit(1))).alias("next"), "kafka_offset"
+    ).select("kafka_partition", (F.col("kafka_offset") + F.col("next")).alias("kafka_offset"), "next")
+    seen = named.groupBy("kafka_partition", "kafka_offset").agg(F.min("next").alias("next"))
+    ends = last.select("kafka_partition", (F.col("last") + 1).alias("kafka_offset"))
     return (
-        starts.join(last, "kafka_partition")
-        .where(F.col("gap_start") <= F.col("last_offset"))
-        .select("kafka_partition", "gap_start")
+        seen.where("next = 1")
+        .join(ends, ["kafka_partition", "kafka_offset"], "left_anti")
+        .select("kafka_partition", F.col("kafka_offset").alias("gap_start"))
     )
 
 
 def health(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """One row per table: pass with rows, warn when empty, fail (and 0) when unreadable."""
-    parts = []
+    """One row per table: pass with rows, warn when empty, fail (and 0) when unreadable.
+
+    Every table is counted by itself when this is called, so a corrupt file fails its own row only.
+    """
+    found = []
     for name, read in tables.items():
         try:
-            counted = read().agg(F.count(F.lit(1)).alias("row_count"))
-            parts.append(
-                counted.select(
-                    F.lit(name).alias("table_name"),
-                    "row_count",
-                    F.when(F.col("row_count") > 0, "pass").otherwise("warn").alias("status"),
-                )
-            )
-        except AnalysisException:
-            parts.append(
-                spark.range(1).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(0).cast("bigint").alias("row_count"),
-                    F.lit("fail").alias("status"),
-                )
-            )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            count = read().count()
+            found.append((name, count, "pass" if count else "warn"))
+        except (PySparkException, Py4JJavaError):
+            found.append((name, 0, "fail"))
+    return spark.createDataFrame(found, "table_name string, row_count bigint, status string")
 
 
 def commit_history(commits: DataFrame) -> DataFrame:

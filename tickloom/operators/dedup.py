@@ -38,18 +38,18 @@ def first_seen(
     stream: DataFrame,
     delay: str,
     keys: Sequence[str] = TRADE_KEY,
-    time: str | None = None,
 ) -> DataFrame:
     """Streaming dedup with bounded state: the first version of a key wins.
 
     Equal to ``latest`` for exact redelivery inside ``delay``; a copy that
     arrives later passes through and is removed by the batch layers. The delay
     runs on the arrival clock, so no row is ever too late and none is lost.
-    With ``time`` it runs on that column instead, and rows older than the
-    watermark are dropped.
     """
-    if time is not None:
-        return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
     arrived = stream.withColumn("_arrived", F.current_timestamp())
     unique = arrived.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(list(keys))
     return unique.drop("_arrived")
+
+
+def unseen(rows: DataFrame, stored: DataFrame, keys: Sequence[str] = TRADE_KEY) -> DataFrame:
+    """The rows whose key is not stored yet, however long ago it came."""
+    return rows.join(stored.select(*keys), list(keys), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import numbers, text, times
-from tickloom.schema import FEED, FEED_NAMES, HOT_COLUMNS, SILVER_COLUMNS, TRADE
+from tickloom.schema import FEED, FEED_NAMES, HOT_COLUMNS, LOG_POSITION, SILVER_COLUMNS, TRADE
 
 _POSITION = {"kafka_partition": "partition", "kafka_offset": "offset", "kafka_timestamp": "timestamp"}
 
@@ -128,8 +128,10 @@ def to_hot(bronze: DataFrame) -> DataFrame:
     return _timed(bronze).withColumn("ingested_at", times.from_iso("ingested_at")).select(*HOT_COLUMNS)
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
-    return _timed(bronze).select(*SILVER_COLUMNS)
+def to_silver(bronze: DataFrame, positions: bool = False) -> DataFrame:
+    """``positions`` keeps the log position, which a later merge needs for its order."""
+    columns = [*SILVER_COLUMNS, *(LOG_POSITION[:2] if positions else [])]
+    return _timed(bronze).select(*columns)
 
 
 def _timed(bronze: DataFrame) -> DataFrame:

@@ -73,7 +73,19 @@ def partial(
     quote: str = "quote_qty",
 ) -> DataFrame:
     """State rows for one block of trades; ``extra`` names further group columns."""
-    return trades.groupBy("symbol", F.date_trunc(unit, "trade_time").alias(bucket), *extra).agg(
+    placed = trades.withColumn(bucket, F.date_trunc(unit, "trade_time"))
+    return partial_of(placed, bucket, extra, qty, quote)
+
+
+def partial_of(
+    placed: DataFrame,
+    bucket: str = "bucket_ts",
+    extra: Sequence[str] = (),
+    qty: str = "qty",
+    quote: str = "quote_qty",
+) -> DataFrame:
+    """State rows for trades that already have their bucket, whatever its width."""
+    return placed.groupBy("symbol", bucket, *extra).agg(
         F.min_by("price", trade_order()).alias("open_price"),
         F.min(trade_order()).alias("open_key"),
         F.max_by("price", trade_order()).alias("close_price"),

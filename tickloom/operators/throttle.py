@@ -32,7 +32,6 @@ from tickloom.session import scratch
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK = 15 * 60_000_000  # microseconds; at most 900,000 instants of one millisecond
-_BROADCAST_ROWS = 500_000  # two columns: some 20 MB
 _FUNCTION = "upto array<bigint>, gate array<bigint>"
 _OPEN = np.iinfo(np.int64).min
 
@@ -208,11 +207,7 @@ def throttle(
         window = Window.partitionBy("_key", "_us").orderBy(tie)
         return rows.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
-    on = ["_key", "_us"]
-    if kept.count() <= _BROADCAST_ROWS:
-        chosen = one_per_instant(keyed.join(F.broadcast(kept), on, "left_semi"))
-    else:
-        # The limit per instant comes first: it runs before the shuffle, so that
-        # an instant with very many rows does not meet in one task.
-        chosen = one_per_instant(keyed).join(kept, on, "left_semi")
+    # The limit per instant comes first: it runs before the shuffle, so that an instant with very many
+    # rows does not meet in one task. Spark knows the size of the kept instants, as they were written.
+    chosen = one_per_instant(keyed).join(kept, ["_key", "_us"], "left_semi")
     return chosen.drop("_key", "_us")

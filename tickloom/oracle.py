@@ -1,7 +1,7 @@
 """The same queries as plain SQL for an independent engine (DuckDB).
 
-Written from the definitions, not from the Spark code: bars use two
-``row_number`` columns, the rate limit a recursive query, and so on.
+Written from the definitions, not from the Spark code: the rate limit is a recursive query,
+layers are window functions, and so on.
 """
 
 from __future__ import annotations
@@ -60,19 +60,11 @@ def _total(column: str) -> str:
 
 def _bars(source: str, unit: str, bucket: str) -> str:
     return f"""
-SELECT symbol, {bucket},
-       MAX(CASE WHEN first_rn = 1 THEN price END) AS open,
-       MAX(price) AS high, MIN(price) AS low,
-       MAX(CASE WHEN last_rn = 1 THEN price END) AS close,
-       {_total('qty')} AS volume, {_total('quote_qty')} AS quote_volume,
-       COUNT(*) AS trade_count
-FROM (SELECT *, date_trunc('{unit}', trade_time) AS {bucket},
-             ROW_NUMBER() OVER (PARTITION BY symbol, date_trunc('{unit}', trade_time)
-                                ORDER BY trade_time, trade_id) AS first_rn,
-             ROW_NUMBER() OVER (PARTITION BY symbol, date_trunc('{unit}', trade_time)
-                                ORDER BY trade_time DESC, trade_id DESC) AS last_rn
-      FROM {source})
-GROUP BY symbol, {bucket}"""
+SELECT symbol, date_trunc('{unit}', trade_time) AS {bucket},
+       arg_min(price, (trade_time, trade_id)) AS open, max(price) AS high,
+       min(price) AS low, arg_max(price, (trade_time, trade_id)) AS close,
+       {_total('qty')} AS volume, {_total('quote_qty')} AS quote_volume, count(*) AS trade_count
+FROM {source} GROUP BY 1, 2"""
 
 
 _MINUTES = f"minutes AS ({_bars('trades', 'minute', 'bucket_ts')})"
@@ -148,6 +140,25 @@ broken AS (
     'trade_id', 'price', 'is_buyer_maker', 'not an object']) AS bad_fields
   FROM events WHERE event_id % 40 = 0)"""
 
+_KLINES = f"""WITH {TRADES},
+hours AS ({_bars('trades', 'hour', 'opened')}),
+taken AS (
+  SELECT symbol, date_trunc('hour', trade_time) AS opened,
+         {_total("CASE WHEN is_buyer_maker THEN 0 ELSE qty END")} AS taker_buy_base,
+         {_total("CASE WHEN is_buyer_maker THEN 0 ELSE quote_qty END")} AS taker_buy_quote
+  FROM trades GROUP BY ALL)
+SELECT epoch_ms(opened) AS open_time_ms, open, high, low, close, volume,
+       epoch_ms(opened) + 3599999 AS close_time_ms, quote_volume, trade_count AS trades,
+       taker_buy_base, taker_buy_quote, UPPER(symbol) AS symbol,
+       CAST(CAST(opened AS DATE) + 1 AS DATE) AS dt, FALSE AS page_full
+FROM hours JOIN taken USING (symbol, opened)"""
+
+_PUBLISHED = f"""WITH {BRONZE}
+SELECT symbol || ':' || trade_id AS key, * EXCLUDE (kafka_partition, kafka_offset, kafka_timestamp)
+FROM ({_WIRE})"""
+
+_ALL_FIELDS = "trade_id,symbol,price,qty,quote_qty,trade_time_ms,event_time_ms,is_buyer_maker,ingested_at"
+
 ORACLE: dict[str, str] = {
     "bronze_count": f"WITH {BRONZE} SELECT COUNT(*) AS n FROM bronze",
     "bronze_profile": f"WITH {BRONZE} {_PROFILE}",
@@ -178,7 +189,7 @@ SELECT trade_id, symbol, price, qty AS quantity, quote_qty AS quote_quantity, tr
     "fact_trades_1h": f"WITH {SILVER} {_bars('silver', 'hour', 'bucket_hour')}",
     "first_trade_per_hour": _edge("ASC"),
     "last_trade_per_hour": _edge("DESC"),
-    "silver_ties": f"WITH {LINE_TRADES} SELECT * EXCLUDE (quote_qty) FROM line_trades",
+    "silver_ties": f"WITH {LINE_TRADES} SELECT * FROM line_trades",
     "ohlcv_1d_ties": f"WITH {LINE_TRADES} {_bars('line_trades', 'day', 'bucket_day')}",
     "ohlcv_1m": f"WITH {TRADES} {_bars('trades', 'minute', 'bucket_ts')}",
     "ohlcv_1h_from_states": f"WITH {TRADES} {_bars('trades', 'hour', 'bucket_ts')}",
@@ -188,8 +199,13 @@ SELECT symbol, date_trunc('minute', trade_time) AS bucket_ts,
        MIN((trade_time, trade_id))[1] AS open_time, MIN((trade_time, trade_id))[2] AS open_id,
        arg_max(price, (trade_time, trade_id)) AS close_price,
        MAX((trade_time, trade_id))[1] AS close_time, MAX((trade_time, trade_id))[2] AS close_id,
-       COUNT(*) AS trade_count
+       MAX(price) AS high, MIN(price) AS low, {_total('qty')} AS volume,
+       {_total('quote_qty')} AS quote_volume, COUNT(*) AS trade_count
 FROM trades GROUP BY ALL""",
+    "merged_prices": f"""WITH {TRADES}
+SELECT symbol, arg_max(price, (trade_time, trade_id)) AS price, MAX((trade_time, trade_id))[1] AS at,
+       MAX((trade_time, trade_id))[2] AS trade_id, MAX(trade_time) AS updated
+FROM trades GROUP BY symbol""",
     "latest_price": f"WITH {TRADES} {_LATEST}",
     "panel_latest_price": f"WITH {TRADES} SELECT symbol, price FROM ({_LATEST})",
     "last_not_null_price": f"WITH {TRADES} SELECT symbol, arg_max(price, trade_id) AS price FROM trades GROUP BY symbol",
@@ -214,27 +230,40 @@ SELECT trade_id, symbol, price, qty, quote_qty, trade_time, event_time, is_buyer
        event_time AS ingested_at, kafka_partition, kafka_offset, kafka_timestamp FROM bronze""",
     "feed_trades": f"""WITH {TRADES}
 SELECT trade_id, symbol, price, qty, quote_qty, epoch_ms(trade_time) AS trade_time_ms,
-       epoch_ms(event_time) AS event_time_ms, is_buyer_maker FROM trades""",
+       epoch_ms(event_time) AS event_time_ms, is_buyer_maker, TRUE AS stamped FROM trades""",
     "feed_quarantine": f"""WITH {_BROKEN}
-SELECT bad_fields, preview, COUNT(*) AS n FROM broken GROUP BY ALL""",
+SELECT bad_fields, preview, preview AS raw, COUNT(*) AS n FROM broken GROUP BY ALL""",
     "feed_counters": """
 SELECT COUNT(*) + 9 * COUNT(*) FILTER (event_id % 40 = 0) AS received, COUNT(*) AS sent,
        8 * COUNT(*) FILTER (event_id % 40 = 0) AS errors FROM events""",
-    "published_messages": f"""WITH {BRONZE}
-SELECT symbol || ':' || trade_id AS key, trade_id, symbol, price, qty,
-       epoch_ms(trade_time) AS trade_time_ms, is_buyer_maker FROM bronze""",
-    "klines_1h": f"""WITH {TRADES},
-hours AS ({_bars('trades', 'hour', 'opened')}),
-taken AS (
-  SELECT symbol, date_trunc('hour', trade_time) AS opened,
-         {_total("CASE WHEN is_buyer_maker THEN 0 ELSE qty END")} AS taker_buy_base,
-         {_total("CASE WHEN is_buyer_maker THEN 0 ELSE quote_qty END")} AS taker_buy_quote
-  FROM trades GROUP BY ALL)
-SELECT epoch_ms(opened) AS open_time_ms, open, high, low, close, volume,
-       epoch_ms(opened) + 3599999 AS close_time_ms, quote_volume, trade_count AS trades,
-       taker_buy_base, taker_buy_quote, UPPER(symbol) AS symbol,
-       CAST(CAST(opened AS DATE) + 1 AS DATE) AS dt, FALSE AS page_full
-FROM hours JOIN taken USING (symbol, opened)""",
+    "published_messages": _PUBLISHED,
+    "klines_1h": _KLINES,
+    "klines_written": _KLINES,
+    "klines_quarantine": f"""WITH {TRADES},
+hours AS (SELECT DISTINCT UPPER(symbol) AS symbol, date_trunc('hour', trade_time) AS opened FROM trades)
+SELECT symbol, 'usable' AS verdict, NULL AS raw,
+       COUNT(*) + COUNT(*) FILTER (opened = date_trunc('day', opened)) AS n FROM hours GROUP BY symbol
+UNION ALL
+SELECT symbol, verdict, raw, CAST(1 AS BIGINT) AS n FROM (SELECT DISTINCT symbol FROM hours), (VALUES
+  ('not an array of candles', '{{"code":-1121}}'), ('not an array of candles', '[[1,"2"'),
+  ('open_time_ms', '[null,"1","2","0.5","1.5","10","1","15","3","4","6","0"]'),
+  ('out of range', '["1","1","2","0.5","1.5","10","1","15","3","4","6","0"]')) AS bad(verdict, raw)""",
+    "market_quarantine": """
+SELECT TIMESTAMP '2024-01-01 05:00:00' AS snapshot_ts, 'usable' AS verdict, NULL AS raw, COUNT(*) AS n FROM part
+UNION ALL
+SELECT TIMESTAMP '2024-01-01 05:00:00', verdict, raw, COUNT(*) FROM part, (VALUES
+  ('id', '{"symbol":"X"}'), ('current_price', '{"id":"y","current_price":"dear","market_cap":5.0}'),
+  ('not an object', 'gone')) AS bad(verdict, raw)
+WHERE p_partkey % 100 = 0 GROUP BY verdict, raw""",
+    "market_written": """
+SELECT snapshot_ts, id, market_cap, 5 AS hour, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY snapshot_ts ORDER BY market_cap DESC, id) AS rank
+      FROM (SELECT CAST(p_partkey AS VARCHAR) AS id, TIMESTAMP '2024-01-01 05:00:00' AS snapshot_ts,
+                   p_retailprice * p_size AS market_cap FROM part
+            UNION ALL
+            SELECT CAST(p_partkey AS VARCHAR), TIMESTAMP '2024-01-01 05:15:00', -(p_retailprice * p_size)
+            FROM part))
+WHERE rank <= 3""",
     "market_topk": """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS symbol, p_name AS name,
        p_retailprice AS current_price, p_retailprice * p_size AS market_cap,
@@ -244,22 +273,46 @@ SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS symbol, p_name AS name,
             AS INTEGER) AS rank
 FROM part ORDER BY rank LIMIT 250""",
     "ensured_bronze": f"WITH {BRONZE} {_PROFILE}",
+    "listed_schemas": f"""WITH {TRADES}, gold AS (SELECT DISTINCT symbol, date_trunc('hour', trade_time) FROM trades)
+SELECT unnest(['bronze', 'silver', 'gold']) AS schema, COUNT(*) AS gold_rows FROM gold""",
     "refreshed_gold": f"WITH {SILVER} {_bars('silver', 'hour', 'bucket_hour')}",
-    "published_stream": f"""WITH {BRONZE}
-SELECT symbol || ':' || trade_id AS key, * EXCLUDE (kafka_partition, kafka_offset, kafka_timestamp)
-FROM ({_WIRE})""",
+    "published_stream": _PUBLISHED,
     "silver_incremental": f"WITH {SILVER} SELECT * FROM silver",
-    "stream_bronze": f"WITH {BRONZE} {_PROFILE}",
+    "silver_incremental_ties": f"""WITH {TRADES}
+SELECT trade_id, symbol, CASE WHEN trade_id % 10 = 0 THEN price + 1 ELSE price END AS price, qty, quote_qty,
+       trade_time, event_time, is_buyer_maker, kafka_timestamp FROM trades""",
+    "stream_bronze": f"WITH {BRONZE} {_WIRE}",
+    "compacted_bronze": f"WITH {BRONZE} {_WIRE}",
+    "log_quarantine": f"""
+SELECT '{_ALL_FIELDS}' AS bad_fields, raw, COUNT(*) AS n
+FROM events, (VALUES ('not json'), ('[]'), ('{{}}'), ('{{"trade_id":"x"}}')) AS bad(raw)
+WHERE event_id % 40 = 0 GROUP BY raw""",
+    "commit_history": f"""WITH {BRONZE}
+SELECT CASE WHEN kafka_offset >= 1000000000 THEN trade_id // 10 % 4 WHEN trade_id % 7 = 0 THEN 3
+            ELSE trade_id % 3 END AS snapshot_id, 'append' AS operation, CAST(COUNT(*) AS VARCHAR) AS added
+FROM bronze GROUP BY 1""",
     "committed_rows": f"WITH {BRONZE} SELECT COUNT(*) AS added FROM bronze",
     "bronze_partitions": f"""WITH {BRONZE}
-SELECT DISTINCT symbol, CAST(kafka_timestamp AS DATE) AS dt FROM bronze""",
+SELECT symbol, CAST(kafka_timestamp AS DATE) AS dt, CAST(1 AS BIGINT) AS files, COUNT(*) AS rows
+FROM bronze GROUP BY 1, 2""",
+    "two_consumers": f"""WITH {BRONZE}
+SELECT symbol, COUNT(*) AS bronze_rows, COUNT(DISTINCT trade_id) AS silver_rows,
+       COUNT(DISTINCT trade_id) AS hot_rows FROM bronze GROUP BY symbol""",
+    "stream_hot_rows": f"""WITH {TRADES}
+SELECT trade_id, symbol, price, qty, quote_qty, trade_time, event_time, is_buyer_maker FROM trades""",
+    "expired_hot": f"""WITH {TRADES}
+SELECT CAST(trade_time AS DATE) AS dt, COUNT(*) AS trades FROM trades
+WHERE CAST(trade_time AS DATE) >= CAST({_AS_OF} - INTERVAL 7 DAY AS DATE) GROUP BY 1""",
     "stream_ohlcv_1m": f"WITH {TRADES} {_bars('trades', 'minute', 'bucket_ts')}",
     "stream_latest_price": f"WITH {TRADES} {_LATEST}",
-    "stream_windowed_bars": f"""WITH {TRADES}, {_MINUTES}
-SELECT symbol, bucket_ts, open, high, low, close, volume, trade_count
-FROM minutes WHERE bucket_ts + INTERVAL 1 MINUTE <= {_AS_OF} - INTERVAL 1 MINUTE""",
+    "stream_windowed_bars": f"WITH {TRADES} {_bars('trades', 'minute', 'bucket_ts')}",
+    "throttle_counters": f"""
+SELECT symbol, received, sent, received - sent AS throttled
+FROM (SELECT event_type AS symbol, COUNT(*) AS received FROM events GROUP BY 1)
+JOIN (SELECT symbol, COUNT(*) AS sent FROM ({_throttle('INTERVAL 5 MINUTE')}) GROUP BY 1) USING (symbol)""",
     "stream_throttle_5m": _throttle("INTERVAL 5 MINUTE"),
-    "stream_dedup": f"WITH {TRADES} SELECT symbol, trade_id, price, qty FROM trades",
+    "stream_dedup": f"""WITH {TRADES}, bronze AS (SELECT * FROM trades)
+SELECT * EXCLUDE (kafka_offset, kafka_timestamp) FROM ({_WIRE})""",
     "unique_bronze": f"""WITH {BRONZE}
 SELECT symbol, trade_id, COUNT(*) AS n FROM bronze GROUP BY ALL HAVING COUNT(*) > 1""",
     "unique_gold": f"""WITH {SILVER}

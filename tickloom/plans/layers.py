@@ -13,8 +13,8 @@ def bronze(records: DataFrame) -> DataFrame:
     return normalize.valid(normalize.decode_log(records))
 
 
-def silver(bronze_rows: DataFrame) -> DataFrame:
-    return normalize.to_silver(dedup.latest(bronze_rows))
+def silver(bronze_rows: DataFrame, positions: bool = False) -> DataFrame:
+    return normalize.to_silver(dedup.latest(bronze_rows), positions)
 
 
 def staging(silver_rows: DataFrame) -> DataFrame:

@@ -7,21 +7,18 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import times
 from tickloom.operators import dedup, ohlcv
 from tickloom.operators.retention import oldest_date
 from tickloom.plans import layers
-from tickloom.session import scratch
-from tickloom.sinks import tables
+from tickloom.sinks import storage, tables
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def compact_states(spark: SparkSession, path: str, day: date) -> None:
-    """Merge all state rows of one day into one row per symbol and minute.
+    """Merge all state rows of one day, from whatever batches, into one row per symbol and minute.
 
-    The day must be closed to writers. The merged day is complete in the shared
-    scratch folder before the old folders are replaced.
+    For tables whose batches hold parts of a day; the day must be closed to writers.
     """
     folder = f"{path}/dt={day.isoformat()}"
     merged = ohlcv.merge_states(spark.read.parquet(folder))
@@ -31,17 +28,19 @@ def compact_states(spark: SparkSession, path: str, day: date) -> None:
 def compact_files(
     spark: SparkSession, folder: str, sort_by: list[str] | None = None, target: int = TARGET_FILE_BYTES
 ) -> int:
-    """Rewrite one partition folder into files of about ``target`` bytes.
+    """Rewrite one folder of a table into files of about ``target`` bytes.
 
-    The folder must be closed to writers. A batch level below it becomes the
+    The folder must be closed to writers. A day level below it stays; a batch level becomes the
     single batch -1, so that all folders of the table keep one layout.
     """
     rows = spark.read.parquet(folder)
-    levels = ["batch_id"] if "batch_id" in rows.columns else []
-    rows = rows.withColumns({c: F.lit(-1).cast("bigint") for c in levels})
+    levels = [c for c in ("dt", "batch_id") if c in rows.columns]
+    if "batch_id" in levels:
+        rows = rows.withColumn("batch_id", F.lit(-1).cast("bigint"))
     files = max(1, -(-folder_bytes(spark, folder) // target))
-    if sort_by:
-        rows = rows.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by)
+    order = [*levels, *(sort_by or [])]
+    if order:
+        rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     else:
         rows = rows.repartition(files)
     _swap_folder(rows, folder, levels)
@@ -54,48 +53,62 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return listing.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
 
 
-def expire_partitions(spark: SparkSession, table: str, as_of: datetime, days: int = 7) -> list[str]:
-    """Drop the ``dt`` partitions in which every row has expired."""
-    limit = oldest_date(as_of, days)
-    parts = spark.sql(f"SHOW PARTITIONS {table}")
-    old = [
-        row.dt
-        for row in parts.select(F.regexp_extract("partition", r"dt=([0-9-]+)", 1).alias("dt"))
-        .distinct()
-        .where(F.col("dt").cast("date") < F.lit(limit))
-        .orderBy("dt")
-        .collect()
-    ]
+def expire_folders(spark: SparkSession, path: str, as_of: datetime, days: int = 7) -> list[str]:
+    """Delete the ``dt`` folders below a path in which every row has expired, with all batches in
+    them; returns the days that are gone."""
+    limit = oldest_date(as_of, days).isoformat()
+    old = sorted(day for day in storage.values(spark, path, "dt") if day < limit)
     for day in old:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt = DATE '{day}')")
-    return old
+        storage.delete(spark, f"{path}/dt={day}")
+    left = set(storage.values(spark, path, "dt"))
+    return [day for day in old if day not in left]
+
+
+def expire_partitions(spark: SparkSession, table: str, as_of: datetime, days: int = 7) -> list[str]:
+    """Drop the partitions of a catalog table in which every row has expired, and their folders.
+
+    Partitions may have further levels below or above ``dt``. Returns the days that are gone.
+    """
+    limit = oldest_date(as_of, days).isoformat()
+
+    def expired() -> list[dict[str, str]]:
+        listed = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        specs = [dict(level.split("=", 1) for level in p.split("/")) for p in listed]
+        return [spec for spec in specs if spec["dt"] < limit]
+
+    before = expired()
+    for spec in before:
+        named = ", ".join(f"{column} = '{value}'" for column, value in spec.items())
+        described = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({named})").collect()
+        # The partition's own location comes before that of the table.
+        folder, whole = [r.data_type for r in described if r.col_name == "Location"][:2]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({named})")
+        if folder != whole and f"dt={spec['dt']}" in folder:
+            storage.delete(spark, folder)
+    left = {spec["dt"] for spec in expired()}
+    return sorted({spec["dt"] for spec in before} - left)
 
 
 def merge_silver(spark: SparkSession, path: str, new_bronze: DataFrame) -> None:
     """Bring new Bronze rows into a Silver folder laid out by ``symbol`` and ``dt``.
 
-    Only folders that receive rows are read and replaced. ``dt`` is the trade
-    date, which a redelivered trade keeps, so a key never changes folder.
+    The stored rows carry their log position, so a key keeps the version that a full rebuild would
+    keep, in whatever order blocks come. Only folders that receive rows are read and replaced. ``dt`` is
+    the trade date, which a redelivered trade keeps, so a key never changes folder.
     """
-    fresh = layers.silver(new_bronze).withColumn("dt", F.to_date("trade_time"))
+    fresh = layers.silver(new_bronze, positions=True).withColumn("dt", F.to_date("trade_time"))
     touched = fresh.select("symbol", "dt").distinct()
-    days = new_bronze.select(F.to_date(times.from_ms("trade_time_ms")).alias("dt"))
-    span = days.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
-    if span["first"] is None:
+    days = [r.dt for r in touched.select("dt").distinct().collect()]
+    if not days:
         return
-    # The date range prunes folders when the query is planned, the join the rest.
+    # The dates prune folders when the query is planned, the join the rest.
     stored = (
         spark.read.schema(fresh.schema)
         .parquet(path)
-        .where(F.col("dt").between(F.lit(span["first"]), F.lit(span["last"])))
+        .where(F.col("dt").isin(days))
         .join(touched, ["symbol", "dt"], "left_semi")
     )
-    newest = [F.col("kafka_timestamp").desc(), F.col("_new").desc()]
-    merged = dedup.latest(
-        stored.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1))),
-        order=newest,
-    ).drop("_new")
-    tables.overwrite_partitions(merged, path, ["symbol", "dt"])
+    tables.overwrite_partitions(dedup.latest(stored.unionByName(fresh)), path, ["symbol", "dt"])
 
 
 def rebuild_states(silver: DataFrame, path: str, day: date) -> None:
@@ -116,9 +129,24 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _swap_folder(rows: DataFrame, folder: str, partition_by: list[str] | None = None) -> None:
+    """Put new contents in a folder's place.
+
+    They are complete beside it, under a name that readers skip, before two renames; the old ones are
+    deleted last. A crash in between leaves both; ``recover_folder`` puts back what is missing.
+    """
     spark = rows.sparkSession
-    staged = scratch(spark, "rewrite")
-    rows.write.option("compression", tables.CODEC).parquet(staged)
-    writer = spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite")
-    writer = writer.option("compression", tables.CODEC).option("partitionOverwriteMode", "static")
-    writer.partitionBy(*(partition_by or [])).parquet(folder)
+    parent, _, name = folder.rstrip("/").rpartition("/")
+    staged, old = f"{parent}/_new-{name}", f"{parent}/_old-{name}"
+    writer = rows.write.mode("overwrite").option("compression", tables.CODEC)
+    writer.option("partitionOverwriteMode", "static").partitionBy(*(partition_by or [])).parquet(staged)
+    storage.delete(spark, old)
+    storage.rename(spark, folder, old)
+    storage.rename(spark, staged, folder)
+    storage.delete(spark, old)
+
+
+def recover_folder(spark: SparkSession, folder: str) -> None:
+    """After a crash between the two renames of a rewrite: put the old contents back."""
+    parent, _, name = folder.rstrip("/").rpartition("/")
+    if not storage.exists(spark, folder) and storage.exists(spark, f"{parent}/_old-{name}"):
+        storage.rename(spark, f"{parent}/_old-{name}", folder)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import newer_than, utc
-from tickloom.operators import dedup, latest, ohlcv
+from tickloom.operators import latest, ohlcv
 
 
 def recent(rows: DataFrame, time: str, as_of: datetime, minutes: int) -> DataFrame:
@@ -61,7 +61,9 @@ def panel_trade_count(hot: DataFrame, as_of: datetime, minutes: int = 15) -> Dat
     """Distinct trades per symbol; a redelivered trade keeps its trade time, so
     the time bound can come first."""
     return (
-        dedup.latest(recent(hot, "trade_time", as_of, minutes))
+        recent(hot, "trade_time", as_of, minutes)
+        .select("symbol", "trade_id")
+        .distinct()
         .groupBy("symbol")
         .agg(F.count(F.lit(1)).alias("trades"))
         .orderBy("symbol")

@@ -12,10 +12,10 @@ from tickloom.functions import text
 from tickloom.operators import audit, dedup, latest, normalize, ohlcv, quality, retention, snapshots
 from tickloom.operators.throttle import throttle
 from tickloom.plans import layers, maintenance, serving
-from tickloom.schema import BRONZE, TRADE
+from tickloom.schema import BRONZE, SILVER_COLUMNS, TRADE
 from tickloom.session import pin, scratch
-from tickloom.sinks import tables
-from tickloom.sources import samples
+from tickloom.sinks import storage, tables
+from tickloom.sources import log, samples
 from tickloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +73,7 @@ def bronze_symbol_counts(spark, sf_dir):
 
 @query
 def layer_reconcile(spark, sf_dir):
-    rows = samples.bronze(spark, sf_dir)
-    return audit.reconcile(rows, dedup.latest(rows))
+    return audit.reconcile(samples.bronze(spark, sf_dir))
 
 
 @query
@@ -136,7 +135,7 @@ def _line_trades(spark, sf_dir):
 
 @query
 def silver_ties(spark, sf_dir):
-    return _line_trades(spark, sf_dir).drop("quote_qty")
+    return _line_trades(spark, sf_dir)
 
 
 @query
@@ -172,10 +171,23 @@ def compacted_states(spark, sf_dir):
         "close_price",
         F.col("close_key.trade_time").alias("close_time"),
         F.col("close_key.trade_id").alias("close_id"),
+        "high",
+        "low",
+        *(F.col(c).cast("double").alias(c) for c in ("volume", "quote_volume")),
         "trade_count",
     )
 
 
+@query
+def merged_prices(spark, sf_dir):
+    """Price states of separate blocks merged into the one row per symbol that is kept."""
+    merged = latest.merge_states(price_states(spark, sf_dir))
+    key = F.col("price_key")
+    return merged.select(
+        "symbol", "price", key["trade_time"].alias("at"), key["trade_id"].alias("trade_id"), "updated"
+    )
+
+
 @query
 def latest_price(spark, sf_dir):
     return serving.latest_price(price_states(spark, sf_dir))
@@ -248,8 +260,9 @@ def throttle_5m(spark, sf_dir):
 
 @query
 def trades_of_symbols(spark, sf_dir):
-    rows = samples.trades(spark, sf_dir).select(F.upper("symbol").alias("symbol"), "trade_id", "price")
-    return rows.where(text.wanted_symbols(" click, Purchase ,,"))
+    wanted = text.wanted_symbols(" click, Purchase ,,", stored=str.lower)
+    rows = samples.trades(spark, sf_dir).where(wanted)
+    return rows.select(F.upper("symbol").alias("symbol"), "trade_id", "price")
 
 
 @query
@@ -265,7 +278,8 @@ def hot_rows(spark, sf_dir):
 @query
 def feed_trades(spark, sf_dir):
     decoded = normalize.decode_feed(samples.feed_lines(spark, sf_dir))
-    return normalize.valid(decoded).drop("ingested_at")
+    stamped = F.try_to_timestamp("ingested_at").isNotNull()
+    return normalize.valid(decoded).withColumn("ingested_at", stamped).withColumnRenamed("ingested_at", "stamped")
 
 
 @query
@@ -273,7 +287,7 @@ def feed_quarantine(spark, sf_dir):
     decoded = normalize.decode_feed(samples.feed_lines(spark, sf_dir))
     return (
         normalize.malformed(decoded)
-        .groupBy("bad_fields", "preview")
+        .groupBy("bad_fields", "preview", "raw")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -288,9 +302,7 @@ def feed_counters(spark, sf_dir):
 def published_messages(spark, sf_dir):
     """What is published, read back from the JSON text."""
     messages = normalize.to_messages(samples.bronze(spark, sf_dir))
-    return messages.select("key", F.inline(F.array(F.from_json("value", TRADE)))).drop(
-        "quote_qty", "event_time_ms", "ingested_at"
-    )
+    return messages.select("key", F.inline(F.array(F.from_json("value", TRADE))))
 
 
 # --- Landed snapshots
@@ -302,6 +314,53 @@ def klines_1h(spark, sf_dir):
     return snapshots.latest_klines(rows)
 
 
+@query
+def klines_quarantine(spark, sf_dir):
+    """Answers and candles that cannot be used, among good ones; and how many of each went in."""
+    decoded = snapshots.decode_klines(samples.kline_bodies_with_bad(spark, sf_dir))
+    usable = F.coalesce("bad_fields", F.lit("usable"))
+    return decoded.groupBy("symbol", usable.alias("verdict"), F.when(usable != "usable", F.col("raw")).alias("raw")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query
+def klines_written(spark, sf_dir):
+    """Candles written by symbol and day, twice, and read back."""
+    path = scratch(spark, "klines")
+    for _ in range(2):
+        rows = snapshots.klines(samples.kline_bodies(spark, sf_dir))
+        tables.overwrite_partitions(rows, path, ["symbol", "dt"])
+    return snapshots.latest_klines(spark.read.parquet(path)).select(*rows.columns)
+
+
+@query
+def market_quarantine(spark, sf_dir):
+    decoded = snapshots.decode_coins(samples.coin_objects_with_bad(spark, sf_dir))
+    usable = F.coalesce("bad_fields", F.lit("usable"))
+    return decoded.groupBy("snapshot_ts", usable.alias("verdict"), F.when(usable != "usable", F.col("raw")).alias("raw")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query
+def market_written(spark, sf_dir):
+    """Two snapshots of one hour, written twice each: both are kept, and each has its own top."""
+    path, top = scratch(spark, "market"), None
+    first = snapshots.coins(samples.coin_objects(spark, sf_dir))
+    second = first.withColumns(
+        {"snapshot_ts": F.col("snapshot_ts") + F.expr("INTERVAL 15 MINUTE"), "market_cap": -F.col("market_cap")}
+    )
+    for rows in (first, second, second, first):
+        tables.overwrite_partitions(
+            snapshots.with_partitions(rows).withColumn("snapshot", F.date_format("snapshot_ts", "yyyyMMdd'T'HHmmss")),
+            path,
+            ["dt", "hour", "snapshot"],
+        )
+    top = snapshots.market_top(spark.read.parquet(path), 3)
+    return top.select("snapshot_ts", "id", "market_cap", F.col("hour").cast("int").alias("hour"), "rank")
+
+
 @query
 def market_topk(spark, sf_dir):
     rows = snapshots.with_partitions(snapshots.coins(samples.coin_objects(spark, sf_dir)))
@@ -325,6 +384,17 @@ def ensured_bronze(spark, sf_dir):
     return audit.profile(spark.table(name))
 
 
+@query
+def listed_schemas(spark, sf_dir):
+    """The schemas of a refresh, from the list of all."""
+    root, prefix = scratch(spark, "tables"), _database(spark)
+    tables.replace(spark, f"{prefix}bronze.trades", samples.bronze(spark, sf_dir), root, ["symbol"])
+    layers.refresh(spark, root, prefix)
+    ours = tables.databases(spark).where(F.col("namespace").startswith(prefix))
+    rows = spark.table(f"{prefix}gold.fact_trades_1h").count()
+    return ours.select(F.substring("namespace", len(prefix) + 1, 100).alias("schema"), F.lit(rows).cast("bigint").alias("gold_rows"))
+
+
 @query
 def refreshed_gold(spark, sf_dir):
     """Bronze, Silver and Gold as catalog tables with the staging view between."""
@@ -333,55 +403,115 @@ def refreshed_gold(spark, sf_dir):
     return spark.table(layers.refresh(spark, root, prefix)["gold"])
 
 
+# Streams: the log lands in PARTS deliveries, each run stops when it has read what is there, and
+# the next one goes on from the checkpoint. Copies and late records come in later deliveries than
+# the trades around them.
+
+PARTS = 4
+
+
+def _run_log(spark, sf_dir, start):
+    """Deliver the log part by part; ``start(records)`` gives the streaming queries to run after each."""
+    topic = scratch(spark, "topic")
+    rows = samples.log_records_with_bad(samples.bronze(spark, sf_dir))
+    number = F.split("key", ":")[1].cast("bigint")
+    copy = F.col("offset") >= 1_000_000_000
+    part = F.when(copy, F.pmod(F.expr("split(key, ':')[1] div 10"), F.lit(PARTS)))
+    part = part.when(number % 7 == 0, PARTS - 1).otherwise(F.pmod(number, F.lit(PARTS - 1)))
+    for k in range(PARTS):
+        rows.where(F.coalesce(part, F.lit(0)) == k).write.mode("append").json(topic)
+        for running in start(log.file_log(spark, topic)):
+            running.awaitTermination()
+
+
+def _landed(spark, sf_dir):
+    path = scratch(spark, "bronze")
+
+    def start(records):
+        return [
+            jobs.land_bronze(
+                jobs.decoded(records), path, f"{path}-bad", f"{path}-commits", f"{path}-checkpoint", interval=None
+            )
+        ]
+
+    _run_log(spark, sf_dir, start)
+    return path
+
+
+def _hot(spark, sf_dir):
+    into = jobs.HotTables.under(scratch(spark, "hot"))
+
+    def start(records):
+        bronze = normalize.valid(jobs.decoded(records))
+        return [jobs.hot_path(bronze, into, f"{into.raw}-checkpoint", interval=None)]
+
+    _run_log(spark, sf_dir, start)
+    return into
+
+
 @query
 def published_stream(spark, sf_dir):
     """Messages written by the streaming publisher, decoded again."""
-    path = scratch(spark, "topic")
-    jobs.publish_messages(
-        _streamed_bronze(spark, sf_dir), path, f"{path}-checkpoint", interval=None
-    ).awaitTermination()
+    path = scratch(spark, "published")
+
+    def start(records):
+        bronze = normalize.valid(jobs.decoded(records))
+        return [jobs.publish_messages(bronze, path, f"{path}-checkpoint", interval=None)]
+
+    _run_log(spark, sf_dir, start)
     messages = spark.read.schema("key string, value string").json(path)
-    trade = F.from_json("value", TRADE)
-    return messages.select("key", F.inline(F.array(trade)))
+    return messages.select("key", F.inline(F.array(F.from_json("value", TRADE))))
+
+
+def _merged_silver(spark, rows, again):
+    path = scratch(spark, "silver")
+    first = layers.silver(rows, positions=True)
+    tables.write(first.withColumn("dt", F.to_date("trade_time")), path, ["symbol", "dt"])
+    maintenance.merge_silver(spark, path, again)
+    return spark.read.parquet(path).select(*SILVER_COLUMNS)
 
 
 @query
 def silver_incremental(spark, sf_dir):
     """Silver built from first deliveries, then merged with the redelivered rows."""
-    path = scratch(spark, "silver")
-    first = layers.silver(samples.as_bronze(samples.trades(spark, sf_dir)))
-    tables.write(first.withColumn("dt", F.to_date("trade_time")), path, ["symbol", "dt"])
     again = samples.bronze(spark, sf_dir).where("kafka_offset >= 1000000000")
-    maintenance.merge_silver(spark, path, again)
-    return spark.read.parquet(path).select(*first.columns)
+    return _merged_silver(spark, samples.as_bronze(samples.trades(spark, sf_dir)), again)
 
 
-def _streamed_bronze(spark, sf_dir):
-    events = samples.stream_table(spark, sf_dir, "events", maxFilesPerTrigger="1000")
-    records = samples.log_records(samples.as_bronze(samples.redeliver(samples.trades_of(events))))
-    return normalize.valid(jobs.decoded(records))
+@query
+def silver_incremental_ties(spark, sf_dir):
+    """Copies with the log time of the first delivery; the version with the older offset comes last."""
+    rows = samples.same_time_copies(samples.bronze(spark, sf_dir))
+    newer = F.col("kafka_offset") >= 1_000_000_000
+    return _merged_silver(spark, rows.where(newer), rows.where(~newer))
 
 
 @query
 def stream_bronze(spark, sf_dir):
-    path = scratch(spark, "bronze")
-    jobs.append_bronze(
-        _streamed_bronze(spark, sf_dir), path, f"{path}-checkpoint", interval=None
-    ).awaitTermination()
-    return audit.profile(spark.read.parquet(path))
+    return spark.read.parquet(_landed(spark, sf_dir)).select(*BRONZE.fieldNames())
 
 
-def _landed(spark, sf_dir):
-    path = scratch(spark, "bronze")
-    jobs.land_bronze(
-        _streamed_bronze(spark, sf_dir), path, f"{path}-commits", f"{path}-checkpoint", interval=None
-    ).awaitTermination()
-    return path
+@query
+def compacted_bronze(spark, sf_dir):
+    """Bronze as the stream landed it, its files merged, read afresh."""
+    path = _landed(spark, sf_dir)
+    for symbol in storage.values(spark, path, "symbol"):
+        maintenance.compact_files(spark, f"{path}/symbol={symbol}", ["trade_id"])
+    return spark.read.parquet(path).select(*BRONZE.fieldNames())
+
+
+@query
+def log_quarantine(spark, sf_dir):
+    """What the stream set aside, by its text."""
+    rows = spark.read.parquet(f"{_landed(spark, sf_dir)}-bad")
+    return rows.groupBy("bad_fields", "raw").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def commit_history(spark, sf_dir):
-    return audit.commit_history(spark.read.parquet(f"{_landed(spark, sf_dir)}-commits"))
+    """One commit per delivery, in order."""
+    history = audit.commit_history(spark.read.parquet(f"{_landed(spark, sf_dir)}-commits"))
+    return history.select("snapshot_id", "operation", "added")
 
 
 @query
@@ -392,71 +522,111 @@ def committed_rows(spark, sf_dir):
 
 @query
 def bronze_partitions(spark, sf_dir):
-    rows = spark.read.parquet(_landed(spark, sf_dir))
-    return tables.partition_layout(rows, ["symbol", "dt"]).select("symbol", "dt")
+    """Folders after compaction: one file in each of a table of this size."""
+    path = _landed(spark, sf_dir)
+    for symbol in storage.values(spark, path, "symbol"):
+        maintenance.compact_files(spark, f"{path}/symbol={symbol}", ["trade_id"])
+    return tables.partition_layout(spark.read.parquet(path), ["symbol", "dt"])
 
 
-def _hot(spark, sf_dir):
-    into = jobs.HotTables.under(scratch(spark, "hot"))
-    jobs.hot_path(
-        _streamed_bronze(spark, sf_dir), into, f"{into.raw}-checkpoint", interval=None
-    ).awaitTermination()
-    return into
+@query
+def two_consumers(spark, sf_dir):
+    """Bronze and the hot path read one log side by side, each with its own checkpoint."""
+    path, into = scratch(spark, "bronze"), jobs.HotTables.under(scratch(spark, "hot"))
+
+    def start(records):
+        decoded = jobs.decoded(records)
+        cold = jobs.land_bronze(decoded, path, f"{path}-bad", f"{path}-commits", f"{path}-checkpoint", interval=None)
+        return [cold, jobs.hot_path(normalize.valid(decoded), into, f"{into.raw}-checkpoint", interval=None)]
+
+    _run_log(spark, sf_dir, start)
+    cold = audit.reconcile(spark.read.parquet(path)).drop("removed")
+    hot = spark.read.parquet(into.raw).groupBy("symbol").agg(F.count(F.lit(1)).alias("hot_rows"))
+    return cold.join(hot, "symbol")
+
+
+@query
+def stream_hot_rows(spark, sf_dir):
+    """The raw trades of the hot path: each once."""
+    columns = ["trade_id", "symbol", "price", "qty", "quote_qty", "trade_time", "event_time", "is_buyer_maker"]
+    return spark.read.parquet(_hot(spark, sf_dir).raw).select(*columns)
 
 
 @query
 def stream_ohlcv_1m(spark, sf_dir):
-    return ohlcv.bars(spark.read.parquet(_hot(spark, sf_dir).minute))
+    return ohlcv.bars(jobs.minute_states(spark, _hot(spark, sf_dir)))
 
 
 @query
 def stream_latest_price(spark, sf_dir):
-    return serving.latest_price(spark.read.parquet(_hot(spark, sf_dir).latest))
+    return serving.latest_price(jobs.price_states(spark, _hot(spark, sf_dir)))
+
+
+@query
+def expired_hot(spark, sf_dir):
+    """Raw trades of the hot path after expiry, counted by day from the files that are left."""
+    into = _hot(spark, sf_dir)
+    now = as_of(spark, sf_dir)
+    maintenance.expire_folders(spark, into.raw, now)
+    left = spark.read.parquet(into.raw)
+    return left.groupBy("dt").agg(F.count(F.lit(1)).alias("trades"))
+
+
+def _run_trades(spark, sf_dir, start):
+    """The trades in PARTS blocks of rising ids."""
+    path = scratch(spark, "trades")
+    rows = samples.trades(spark, sf_dir)
+    width = F.lit(rows.agg(F.max("trade_id").alias("m")).first()["m"] // PARTS + 1)
+    for k in range(PARTS):
+        rows.where((F.col("trade_id") / width).cast("bigint") == k).write.mode("append").parquet(path)
+        start(spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
 
 
 @query
 def stream_windowed_bars(spark, sf_dir):
-    """Finished one-minute bars; those the watermark has not passed are not out yet."""
     path = scratch(spark, "windows")
-    events = samples.stream_table(spark, sf_dir, "events")
-    bars = jobs.windowed_bars(samples.trades_of(events), "1 minute")
-    (
-        bars.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(path)
+    _run_trades(spark, sf_dir, lambda rows: jobs.windowed_bars(rows, path, f"{path}-checkpoint", interval=None))
+    return ohlcv.bars(storage.read_versions(spark, path, storage.newest_versions(spark, path)))
 
 
 @query
 def stream_throttle_5m(spark, sf_dir):
     path = scratch(spark, "throttled")
-    events = samples.stream_table(spark, sf_dir, "events", maxFilesPerTrigger="1000")
-    rows = samples.trades_of(events).select("symbol", "trade_id", "trade_time", "price")
-    jobs.throttled(
-        rows, timedelta(minutes=5), path, f"{path}-checkpoint", interval=None
-    ).awaitTermination()
+
+    def start(trades):
+        rows = trades.select("symbol", "trade_id", "trade_time", "price")
+        return jobs.throttled(rows, timedelta(minutes=5), path, f"{path}-checkpoint", interval=None)
+
+    _run_trades(spark, sf_dir, start)
     return spark.read.parquet(path).drop("batch_id")
 
 
+@query
+def throttle_counters(spark, sf_dir):
+    """Received, sent and throttled trades per symbol, summed over the batches of the stream."""
+    path = scratch(spark, "throttled")
+
+    def start(trades):
+        rows = trades.select("symbol", "trade_id", "trade_time", "price")
+        return jobs.throttled(rows, timedelta(minutes=5), path, f"{path}-checkpoint", interval=None)
+
+    _run_trades(spark, sf_dir, start)
+    counted = spark.read.parquet(f"{path}-throttled").groupBy("symbol")
+    return counted.agg(*(F.sum(c).alias(c) for c in ("received", "sent", "throttled")))
+
+
 @query
 def stream_dedup(spark, sf_dir):
+    """Which trades pass, in full but for the log position, which is that of whichever copy came first."""
     path = scratch(spark, "dedup")
-    (
-        dedup.first_seen(_streamed_bronze(spark, sf_dir), "10 minutes")
-        .select("symbol", "trade_id", "price", "qty")
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+
+    def start(records):
+        rows = dedup.first_seen(normalize.valid(jobs.decoded(records)), "10 minutes")
+        writer = rows.drop("kafka_offset", "kafka_timestamp").writeStream.format("parquet").outputMode("append")
+        writer = writer.option("path", path).option("checkpointLocation", f"{path}-checkpoint")
+        return [writer.trigger(availableNow=True).start()]
+
+    _run_log(spark, sf_dir, start)
     return spark.read.parquet(path)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.schema import ddl
+from tickloom.sinks import storage
 
 CODEC = "zstd"
 
@@ -53,9 +54,10 @@ def replace(
 ) -> None:
     """Replace the whole table.
 
-    The new version is written beside the old one and the catalog entry is
-    switched afterwards, so a failed write leaves the table as it was, and the
-    rows may be computed from the table itself.
+    A replaced table is a view of its newest version. The new version is written beside the old one and
+    the view is pointed at it in one catalog call, so readers always meet a whole table, a failed
+    write leaves it as it was, and the rows may be computed from the table itself. The version before
+    stays for queries that still read it; older ones are deleted.
     """
     if iceberg:
         writer = rows.writeTo(name).using("iceberg").tableProperty("format-version", "2")
@@ -67,11 +69,13 @@ def replace(
     path = _version(root, name)
     write(rows, path, partition_by, mode="errorifexists")
     ensure_database(spark, name, root)
-    parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl(rows.schema)}) USING parquet {parts} LOCATION '{path}'")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # once, when a table that was filled otherwise becomes a replaced one
+    columns = ", ".join(f"`{c}`" for c in rows.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
+    parent = path.rpartition("/")[0]
+    for version in storage.folders(spark, parent)[:-2]:
+        storage.delete(spark, f"{parent}/{version}")
 
 
 def write(
@@ -91,8 +95,9 @@ def write(
 
 
 def append(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """Append to an existing table, matching columns by name."""
-    rows.select(*spark.table(name).columns).write.insertInto(name)
+    """Append to an existing table, matching columns by name, few files per partition."""
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    _laid_out(rows.select(*spark.table(name).columns), parts, ()).write.insertInto(name)
 
 
 def overwrite_partitions(
@@ -121,9 +126,12 @@ def _laid_out(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[st
 
 
 def partition_layout(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Which partition folders exist and how many files each holds."""
-    files = rows.select(*partition_by, F.input_file_name().alias("file")).distinct()
-    return files.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("files"))
+    """Which partition folders exist, and how many files and rows each holds.
+
+    One small row per task, folder and file is exchanged, none per trade.
+    """
+    files = rows.groupBy(*partition_by, F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
 
 
 def databases(spark: SparkSession) -> DataFrame:

@@ -15,10 +15,17 @@ def kline_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def market_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Files below ``dt=D/hour=HH/``, each an array of coins: one row per coin object."""
+    """Files below ``dt=D/hour=HH/``, each an array of coins: one row per coin object.
+
+    A snapshot keeps its own instant, which the file name holds (``20240101T051500``); without one it
+    is that of the folder. A file that is no array is one row with its whole text.
+    """
     answers = spark.read.text(path, wholetext=True)
     hour = F.make_dt_interval(hours=F.col("hour").cast("int"))
-    return answers.select(
-        F.explode(F.from_json("value", "array<string>")).alias("value"),
-        (F.col("dt").cast("date").cast("timestamp") + hour).alias("snapshot_ts"),
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8}T\d{6})", 1)
+    own = F.try_to_timestamp(name, F.lit("yyyyMMdd'T'HHmmss"))
+    items = F.from_json("value", "array<string>")
+    return answers.where(items.isNull() | (F.size(items) > 0)).select(
+        F.explode(F.coalesce(items, F.array("value"))).alias("value"),
+        F.coalesce(own, F.col("dt").cast("date").cast("timestamp") + hour).alias("snapshot_ts"),
     )

@@ -105,6 +105,34 @@ def log_records(bronze_rows: DataFrame, topic: str = "raw_trades") -> DataFrame:
     )
 
 
+#: Values of log records that no trade can be made of, with the fields that are missing or wrong.
+BAD_VALUES = ("not json", "[]", "{}", '{"trade_id":"x"}')
+
+
+def log_records_with_bad(bronze_rows: DataFrame) -> DataFrame:
+    """The log with malformed records after the first delivery of every 40th trade."""
+    records = log_records(bronze_rows)
+    number = F.split("key", ":")[1].cast("bigint")
+    with_bad = (number % 40 == 0) & (F.col("offset") < 1_000_000_000)
+    good = F.array("value")
+    values = F.when(with_bad, F.concat(good, F.array(*map(F.lit, BAD_VALUES)))).otherwise(good)
+    return records.withColumn("value", F.explode(values))
+
+
+def same_time_copies(bronze_rows: DataFrame) -> DataFrame:
+    """Redelivered rows with the log time of the first delivery and a price of their own, so that the
+    offset alone says which version is the newest."""
+    copy = F.col("kafka_offset") >= 1_000_000_000
+    return bronze_rows.withColumns(
+        {
+            "kafka_timestamp": F.when(copy, F.col("kafka_timestamp") - F.expr("INTERVAL 1 SECOND")).otherwise(
+                F.col("kafka_timestamp")
+            ),
+            "price": F.when(copy, F.col("price") + 1).otherwise(F.col("price")),
+        }
+    )
+
+
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as trades: day-level times (many ties) and repeated trade ids."""
     return table(spark, sf_dir, "lineitem").select(
@@ -217,6 +245,17 @@ def kline_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kline_bodies_with_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers, and for the first day of every symbol also an error body, a text that is cut off, a
+    candle with a time that is none, and one of another day."""
+    bodies = kline_bodies(spark, sf_dir)
+    candle = '[{at},"1","2","0.5","1.5","10",1,"15",3,"4","6","0"]'
+    bad = ['{"code":-1121}', '[[1,"2"', f"[{candle.format(at='null')},{candle.format(at=1)}]"]
+    first = bodies.groupBy("symbol").agg(F.min("dt").alias("dt"))
+    extra = first.select("symbol", "dt", F.explode(F.array(*map(F.lit, bad))).alias("body"))
+    return bodies.unionByName(extra)
+
+
 def coin_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` as the coins of one market snapshot, with one member no schema knows."""
     part = table(spark, sf_dir, "part")
@@ -232,3 +271,12 @@ def coin_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(
         F.to_json(coin).alias("value"), F.lit("2024-01-01 05:00:00").cast("timestamp").alias("snapshot_ts")
     )
+
+
+def coin_objects_with_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coins, and after every 100th one that has no id, one whose price is a word, and a text that is
+    no object."""
+    rows = coin_objects(spark, sf_dir).withColumn("n", F.get_json_object("value", "$.id").cast("bigint"))
+    bad = ['{"symbol":"X"}', '{"id":"y","current_price":"dear","market_cap":5.0}', "gone"]
+    values = F.when(F.col("n") % 100 == 0, F.concat(F.array("value"), F.array(*map(F.lit, bad)))).otherwise(F.array("value"))
+    return rows.select(F.explode(values).alias("value"), "snapshot_ts")

@@ -10,14 +10,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tickloom.operators import dedup, latest, normalize, ohlcv
 from tickloom.operators.throttle import throttle
-from tickloom.sinks import publish, tables
+from tickloom.sinks import publish, storage, tables
 
 COLD_INTERVAL = "30 seconds"
 HOT_INTERVAL = "10 seconds"
@@ -33,57 +33,35 @@ def decoded(records: DataFrame) -> DataFrame:
     return rows.observe("ingest", *normalize.counters(rows))
 
 
-def append_bronze(
-    bronze: DataFrame, path: str, checkpoint: str, interval: str | None = COLD_INTERVAL
-) -> StreamingQuery:
-    """Append through the file sink, whose commit log makes each batch count once."""
-    writer = (
-        bronze.withColumn("dt", F.to_date("kafka_timestamp"))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("symbol", "dt")
-        .option("path", path)
-        .option("compression", tables.CODEC)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _trigger(writer, interval).start()
-
-
 def land_bronze(
-    bronze: DataFrame,
+    decoded_rows: DataFrame,
     path: str,
+    quarantine: str,
     commits: str,
     checkpoint: str,
     interval: str | None = COLD_INTERVAL,
 ) -> StreamingQuery:
-    """Append with a queryable commit log: one row per batch with the rows it added.
+    """Every record of the log lands once: usable ones in Bronze, the others in the quarantine.
 
-    A batch owns the folders that carry its id, so a replay rewrites them.
+    Both are written in the same batch, then one row of the commit log says how many rows Bronze got.
+    A batch owns the folders that carry its id, so a replay rewrites them, and folders that are
+    closed may be compacted.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        rows = batch.withColumns(
-            {"dt": F.to_date("kafka_timestamp"), "batch_id": F.lit(batch_id).cast("bigint")}
-        )
-        tables.overwrite_partitions(
-            rows.observe(seen, F.count(F.lit(1)).alias("added")), path, ["symbol", "dt", "batch_id"]
-        )
+        seen, own = Observation(), F.lit(batch_id).cast("bigint")
+        rows = batch.persist()
+        try:
+            good = normalize.valid(rows).withColumns({"dt": F.to_date("kafka_timestamp"), "batch_id": own})
+            good = good.observe(seen, F.count(F.lit(1)).alias("added"))
+            tables.overwrite_partitions(good, path, ["symbol", "dt", "batch_id"])
+            bad = normalize.malformed(rows).withColumn("batch_id", own)
+            tables.overwrite_partitions(bad, quarantine, ["batch_id"])
+        finally:
+            rows.unpersist()
         tables.record_commit(batch.sparkSession, commits, batch_id, "append", seen.get["added"])
 
-    return _start(bronze, commit, checkpoint, interval)
-
-
-def quarantine(decoded_rows: DataFrame, path: str, checkpoint: str, interval: str | None = COLD_INTERVAL) -> StreamingQuery:
-    """Malformed messages to their own folder."""
-    writer = (
-        normalize.malformed(decoded_rows)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _trigger(writer, interval).start()
+    return _start(decoded_rows, commit, checkpoint, interval)
 
 
 def publish_messages(
@@ -137,54 +115,78 @@ def hot_path(
     into: HotTables,
     checkpoint: str,
     interval: str | None = HOT_INTERVAL,
-    dedup_delay: str | None = "10 minutes",
     jdbc: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Raw trades and partial states per micro-batch.
-
-    Data of any age is accepted: a late block only adds another state row,
-    merged when read. ``dedup_delay`` drops copies that arrive within it before
-    they are counted; without it redelivered trades count twice until the
-    states are rebuilt from Silver.
-    """
-    rows = normalize.to_hot(bronze)
-    if dedup_delay:
-        rows = dedup.first_seen(rows, dedup_delay)
+    """Raw trades and merged states per micro-batch; data and copies of any age are accepted."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_hot_batch(batch, batch_id, into, distinct=False, jdbc=jdbc)
+        write_hot_batch(batch, batch_id, into, jdbc)
 
-    return _start(rows, write, checkpoint, interval)
+    return _start(normalize.to_hot(bronze), write, checkpoint, interval)
 
 
 def write_hot_batch(
-    batch: DataFrame,
-    batch_id: int,
-    into: HotTables,
-    distinct: bool = True,
-    jdbc: dict[str, str] | None = None,
+    batch: DataFrame, batch_id: int, into: HotTables, jdbc: dict[str, str] | None = None
 ) -> None:
     """All writes of one micro-batch, each into folders named by the batch id.
 
-    ``distinct`` removes copies inside the block, for blocks that did not pass
-    the streaming dedup.
+    A trade counts once: copies inside the batch, and of trades that earlier batches stored, are left
+    out. A copy keeps its trade time, so only stored rows of the batch's span of trade times are read. What
+    counts does not depend on how fast the stream runs. Minute states and prices are merged with those of
+    earlier batches: the last batch of a day has all its states, the last batch all prices, so what
+    readers meet does not grow with the number of batches. A replay reads earlier batches only.
     """
-    rows = dedup.latest(batch) if distinct else batch
-    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
+    spark = batch.sparkSession
+    own = F.lit(batch_id).cast("bigint")
+    rows = dedup.latest(batch).withColumn("dt", F.to_date("trade_time"))
+    span = rows.agg(F.min("trade_time").alias("first"), F.max("trade_time").alias("last")).first()
+    if span["first"] is None:
+        return
+    if batch_id > 0 and storage.exists(spark, into.raw):
+        inside = F.col("trade_time").between(F.lit(span["first"]), F.lit(span["last"]))
+        days = F.col("dt").between(F.lit(span["first"].date()), F.lit(span["last"].date()))
+        stored = spark.read.parquet(into.raw).where(days & inside & (F.col("batch_id") < batch_id))
+        rows = dedup.unseen(rows, stored)
+    rows = rows.withColumn("batch_id", own).persist()
     try:
-        if rows.isEmpty():  # a batch that only moves the watermark
+        days = [str(r.dt) for r in rows.select("dt").distinct().collect()]
+        if not days:
             return
-        by_day = rows.withColumn("dt", F.to_date("trade_time"))
+        tables.overwrite_partitions(rows, into.raw, ["dt", "batch_id"], sort_by=["trade_time", "symbol"])
+        minute = ohlcv.partial(rows.drop("batch_id")).withColumn("dt", F.to_date("bucket_ts"))
+        merged = _merged(spark, minute, into.minute, storage.newest_versions(spark, into.minute, batch_id, days))
+        merged = ohlcv.merge_states(merged).withColumns({"dt": F.to_date("bucket_ts"), "batch_id": own})
+        tables.overwrite_partitions(merged, into.minute, ["dt", "batch_id"])
+        prices = latest.partial(rows.drop("batch_id"))
+        before = [b for b in map(int, storage.values(spark, into.latest, "batch_id")) if b < batch_id]
+        prices = _merged(spark, prices, into.latest, [f"batch_id={max(before)}"] if before else [])
         tables.overwrite_partitions(
-            by_day, into.raw, ["dt", "batch_id"], sort_by=["symbol", "trade_id"]
+            latest.merge_states(prices).withColumn("batch_id", own), into.latest, ["batch_id"]
         )
-        minute = ohlcv.partial(rows, extra=["batch_id"]).withColumn("dt", F.to_date("bucket_ts"))
-        tables.overwrite_partitions(minute, into.minute, ["dt", "batch_id"])
-        tables.overwrite_partitions(latest.partial(rows, ["batch_id"]), into.latest, ["batch_id"])
         if jdbc:
-            publish.to_jdbc(publish.jdbc_row(rows.drop("batch_id")), **jdbc)
+            publish.to_jdbc(publish.jdbc_row(rows.drop("batch_id", "dt")), **jdbc)
     finally:
         rows.unpersist()
+    for day in days:
+        storage.drop_versions(spark, f"{into.minute}/dt={day}")
+    storage.drop_versions(spark, into.latest)
+
+
+def _merged(spark: SparkSession, fresh: DataFrame, path: str, picked: list[str]) -> DataFrame:
+    """New rows together with those of the folders picked."""
+    stored = storage.read_versions(spark, path, picked)
+    return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
+
+
+def minute_states(spark: SparkSession, into: HotTables) -> DataFrame:
+    """The states of all days: each day's last batch."""
+    return storage.read_versions(spark, into.minute, storage.newest_versions(spark, into.minute))
+
+
+def price_states(spark: SparkSession, into: HotTables) -> DataFrame:
+    """One price state per symbol: the last batch."""
+    newest = max(map(int, storage.values(spark, into.latest, "batch_id")))
+    return storage.read_versions(spark, into.latest, [f"batch_id={newest}"])
 
 
 def throttled(
@@ -196,8 +198,8 @@ def throttled(
 ) -> StreamingQuery:
     """The per-symbol rate limit on a stream, with the distributed batch operator.
 
-    Rows of a busy symbol are spread over tasks. The last kept time of every
-    symbol lives beside the output, one small set of rows per batch.
+    Rows of a busy symbol are spread over tasks. The last kept time of every symbol lives beside the
+    output; each batch writes all of them anew from the batch before, and drops older ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -209,50 +211,63 @@ def throttled(
 def throttle_batch(batch: DataFrame, batch_id: int, limit: timedelta, path: str) -> None:
     """One micro-batch: what is older than ``limit`` after the last kept trade of
     earlier batches cannot be kept; the rest starts afresh. Replays see the same
-    earlier batches and rewrite their own folders.
+    earlier batch and rewrite their own folders. Beside the output, ``-throttled`` counts what
+    each batch received and kept, per symbol.
     """
     spark = batch.sparkSession
     last_path, own = f"{path}-last", F.lit(batch_id).cast("bigint")
+    before = [b for b in map(int, storage.values(spark, last_path, "batch_id")) if b < batch_id]
+    last = storage.read_versions(spark, last_path, [f"batch_id={max(before)}"] if before else [])
     rows = batch
-    if batch_id > 0:
-        last = (
-            spark.read.schema("symbol string, last_kept timestamp, batch_id bigint")
-            .parquet(last_path)
-            .where(F.col("batch_id") < batch_id)
-            .groupBy("symbol")
-            .agg(F.max("last_kept").alias("last_kept"))
-        )
+    if last is not None:
         open_again = F.col("last_kept") + F.make_dt_interval(secs=F.lit(limit.total_seconds()))
+        # The last kept times are a row per symbol: Spark broadcasts them as long as they are small.
         rows = (
-            batch.join(last, "symbol", "left")
+            batch.join(last.select("symbol", "last_kept"), "symbol", "left")
             .where(F.col("last_kept").isNull() | (F.col("trade_time") >= open_again))
             .select(*batch.columns)
         )
     kept = throttle(rows, limit).withColumn("batch_id", own)
     tables.overwrite_partitions(kept, path, ["batch_id"])
     written = spark.read.schema(kept.schema).parquet(path).where(F.col("batch_id") == batch_id)
-    last = written.groupBy("symbol").agg(F.max("trade_time").alias("last_kept"))
-    tables.overwrite_partitions(last.withColumn("batch_id", own), last_path, ["batch_id"])
-
-
-def windowed_bars(trades: DataFrame, delay: str, window: str = "1 minute") -> DataFrame:
-    """Bounded alternative to the states: finished bars only, late trades dropped."""
-    return (
-        trades.withWatermark("trade_time", delay)
-        .groupBy("symbol", F.window("trade_time", window).alias("w"))
-        .agg(
-            F.min_by("price", ohlcv.trade_order()).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", ohlcv.trade_order()).alias("close"),
-            ohlcv.exact_sum("qty").cast("double").alias("volume"),
-            F.count(F.lit(1)).alias("trade_count"),
-        )
-        .select(
-            "symbol", F.col("w.start").alias("bucket_ts"), "open", "high", "low", "close",
-            "volume", "trade_count",
-        )
+    newer = written.groupBy("symbol").agg(F.max("trade_time").alias("last_kept"))
+    if last is not None:
+        newer = last.select("symbol", "last_kept").union(newer)
+    newer = newer.groupBy("symbol").agg(F.max("last_kept").alias("last_kept"))
+    tables.overwrite_partitions(newer.withColumn("batch_id", own), last_path, ["batch_id"])
+    counted = batch.select("symbol", F.lit(0).alias("kept")).union(written.select("symbol", F.lit(1)))
+    totals = counted.groupBy("symbol").agg(
+        F.count_if(F.col("kept") == 0).alias("received"), F.count_if(F.col("kept") == 1).alias("sent")
     )
+    totals = totals.withColumns({"throttled": F.col("received") - F.col("sent"), "batch_id": own})
+    tables.overwrite_partitions(totals, f"{path}-throttled", ["batch_id"])
+    storage.drop_versions(spark, last_path)
+
+
+def windowed_bars(
+    trades: DataFrame, path: str, checkpoint: str, window: str = "1 minute", interval: str | None = HOT_INTERVAL
+) -> StreamingQuery:
+    """Bars by time window of any width. Each micro-batch merges its windows with the stored ones of
+    the days it touches, so late trades of any age count and the last window is there too.
+
+    Every trade must come once; ``hot_path`` removes copies.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = F.lit(batch_id).cast("bigint")
+        placed = batch.withColumn("bucket_ts", F.window("trade_time", window)["start"])
+        fresh = ohlcv.partial_of(placed).withColumn("dt", F.to_date("bucket_ts"))
+        days = [str(r.dt) for r in fresh.select("dt").distinct().collect()]
+        if not days:
+            return
+        spark = batch.sparkSession
+        rows = _merged(spark, fresh, path, storage.newest_versions(spark, path, batch_id, days))
+        rows = ohlcv.merge_states(rows).withColumns({"dt": F.to_date("bucket_ts"), "batch_id": own})
+        tables.overwrite_partitions(rows, path, ["dt", "batch_id"])
+        for day in days:
+            storage.drop_versions(spark, f"{path}/dt={day}")
+
+    return _start(trades, write, checkpoint, interval)
 
 
 def _start(
