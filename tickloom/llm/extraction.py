@@ -18,6 +18,7 @@ that is an article by name, or else over each ancestor with another part as dens
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import e, log
 
@@ -93,15 +94,21 @@ class Page:
         #: (node, text) in order; a text of None parts blocks.
         self.texts: list[tuple[int, str | None]] = []
         self.open = [0]
+        #: How many elements of each name are open, so that a deep page is not searched in vain.
+        self.counts: Counter[str] = Counter()
         self._read(html)
         while self.open:
             self._close()
 
     def _close(self) -> None:
-        self.ends[self.open.pop()] = len(self.tags)
+        node = self.open.pop()
+        self.ends[node] = len(self.tags)
+        self.counts[self.tags[node]] -= 1
 
     def _close_first(self, tags: set[str], stop: frozenset[str]) -> None:
         """Close the innermost open element of these, and what is in it, unless one of `stop` is between."""
+        if not any(self.counts[tag] > 0 for tag in tags):
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             tag = self.tags[self.open[depth]]
             if tag in tags:
@@ -143,7 +150,7 @@ class Page:
             elif tag not in INLINE and tag not in VOID:
                 self._close_first({"p"}, SCOPE)
             node, parent = len(self.tags), self.open[-1]
-            inside = any(self.tags[n] in ARTICLES for n in self.open)
+            inside = any(self.counts[name] > 0 for name in ARTICLES)
             self.tags.append(tag)
             self.parents.append(parent)
             self.apart.append(self.apart[parent] or _apart(tag, m[3], inside))
@@ -151,9 +158,9 @@ class Page:
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
                 at = close.start() if close else size
+            if tag not in VOID:
                 self.open.append(node)
-            elif tag not in VOID:
-                self.open.append(node)
+                self.counts[tag] += 1
 
     def core(self) -> int:
         """The node whose text is the article."""

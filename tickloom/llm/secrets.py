@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 from math import erfc, log, sqrt
 
 import numpy as np
@@ -102,9 +104,14 @@ def prose_bound(run: str, alphabet: str, prose: Counter, total: int) -> float:
 
 def random_runs(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     tested = []
+    # Spans by their start, and the furthest end up to each: a run is free if the last span that starts
+    # before its end, and all before that one, end before its start.
+    starts = sorted(start for _, start, _ in taken)
+    ends = list(accumulate((end for _, _, end in sorted(taken, key=lambda s: s[1])), max))
     for m in RUN.finditer(text):
         body = m[0].rstrip("=")
-        free = all(end <= m.start() or start >= m.end() for _, start, end in taken)
+        before = bisect_left(starts, m.end())
+        free = before == 0 or ends[before - 1] <= m.start()
         if free and any(c.isalpha() for c in body):
             tested.append((m, body, encoding(body)))
     if not tested:
