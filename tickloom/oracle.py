@@ -288,8 +288,8 @@ SELECT '{_ALL_FIELDS}' AS bad_fields, raw, COUNT(*) AS n
 FROM events, (VALUES ('not json'), ('[]'), ('{{}}'), ('{{"trade_id":"x"}}')) AS bad(raw)
 WHERE event_id % 40 = 0 GROUP BY raw""",
     "commit_history": f"""WITH {BRONZE}
-SELECT CASE WHEN kafka_offset >= 1000000000 THEN trade_id // 10 % 4 WHEN trade_id % 7 = 0 THEN 3
-            ELSE trade_id % 3 END AS snapshot_id, 'append' AS operation, CAST(COUNT(*) AS VARCHAR) AS added
+SELECT CASE WHEN kafka_offset >= 1000000000 THEN trade_id // 10 % 3 WHEN trade_id % 7 = 0 THEN 2
+            ELSE trade_id % 2 END AS snapshot_id, 'append' AS operation, CAST(COUNT(*) AS VARCHAR) AS added
 FROM bronze GROUP BY 1""",
     "committed_rows": f"WITH {BRONZE} SELECT COUNT(*) AS added FROM bronze",
     "bronze_partitions": f"""WITH {BRONZE}

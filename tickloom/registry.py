@@ -407,7 +407,7 @@ def refreshed_gold(spark, sf_dir):
 # the next one goes on from the checkpoint. Copies and late records come in later deliveries than
 # the trades around them.
 
-PARTS = 4
+PARTS = 3
 
 
 def _run_log(spark, sf_dir, start):
