@@ -87,3 +87,24 @@ def test_redacting(odd_docs, odd_rows, make_docs):
 def test_empty(no_docs):
     assert secrets.redact(no_docs).count() == 0
     assert secrets.spans_of("") == []
+
+
+def test_keys_stand_out_in_short_documents_of_a_table_of_prose(make_docs):
+    rng = random.Random(7)
+    texts = [PROSE * 4]
+    for size in (20, 24, 32, 40, 64):
+        for around in (0, 30, 200, 800, 4000):
+            for _ in range(20):
+                key = "".join(rng.choices(secrets.ENCODINGS[5], k=size))
+                at = rng.randrange(len(PROSE))
+                texts.append(f"{(PROSE * 8)[at : at + around // 2]} {key} {(PROSE * 8)[at : at + around // 2]}")
+    ordinary = [
+        "Donaudampfschifffahrtsgesellschaftskapitaen", "home/users/shared/documents/reports/january",
+        "the_name_of_a_function_that_reads_the_table", "internationalizationcommittees",
+    ]
+    docs = make_docs(list(enumerate([*texts, *ordinary])))
+    after = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    found = [secrets.REPLACEMENT in after[i] for i in range(1, len(texts))]
+    assert sum(found) >= 0.9 * len(found)
+    assert sum(found[k] for k in range(len(found)) if k % 100 < 40) >= 0.9 * 200
+    assert [after[i] for i in range(len(texts), len(texts) + len(ordinary))] == ordinary

@@ -226,7 +226,7 @@ FROM rows GROUP BY conv_id
 @query
 def op10_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", secrets.spans(F.col("text")).alias("found"))
+    found = docs.select("doc_id", secrets.spans(F.col("text"), secrets.usage_of(docs)).alias("found"))
     counts = [
         F.size(secrets.of_kind(F.col("found"), kind)).cast("long").alias(f"n_{kind}")
         for kind in secrets.BASE_KINDS

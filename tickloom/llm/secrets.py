@@ -9,10 +9,12 @@ it is tested as follows.
   correlation of neighbouring characters. Each must leave that standing, at a level that is shared
   out over all tests of the document.
 * Short runs pass such tests whatever they are, so the run must also not be prose. Its likelihood
-  under a uniform alphabet, divided by that under the characters' use in the rest of the
-  document (letters without case), is an e-value: prose reaches r with probability 1/r at most. These
+  under a uniform alphabet, divided by that under the characters' use in prose (letters without
+  case), is an e-value: prose reaches r with probability 1/r at most. These
   p-values go through Benjamini-Hochberg over the runs of the document, each weighted by its
   length, which bounds the share of false discoveries, and asks less of longer runs.
+  Prose is the rest of the document and a number of characters as the whole table uses them, since a
+  short document alone does not tell what prose looks like.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ import re
 import string
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
+from functools import partial
 from itertools import accumulate
 from math import erfc, log, sqrt
 
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import fresh, on_texts
+from tickloom.llm.common import fresh, on_texts, steps
 
 #: The base forms, in the order they are listed, and their least lengths.
 ASSIGN = re.compile(
@@ -45,8 +49,11 @@ RANDOM = "random"
 
 #: A run shorter than this is not tested; levels of the two kinds of error.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+RUN_BYTES = re.compile(RUN.pattern.encode())
 MISSED = 0.001
 FALSE_DISCOVERIES = 0.001
+#: Characters of the table's prose that are added to each document's own.
+PRIOR = 1000
 
 #: The alphabets of the encodings, smallest first.
 ENCODINGS = [
@@ -94,15 +101,39 @@ def battery(run: str, alphabet: str) -> tuple[float, float, float]:
     return uniform, runs, erfc(abs(serial + 1 / n) * sqrt(n) / sqrt(2))
 
 
-def prose_bound(run: str, alphabet: str, prose: Counter, total: int) -> float:
+def prose_bound(run: str, alphabet: str, prose: Counter, total: float, usage: dict[str, float]) -> float:
     """At most this likely, prose is as much better explained by the uniform alphabet."""
     ratio = -len(run) * log(len(alphabet))
-    for c in run:
-        ratio -= log((prose[c.lower()] + 1) / (total + len(ANY)))
+    size = total + (PRIOR if usage else len(ANY))
+    for c in run.lower():
+        ratio -= log((prose[c] + (PRIOR * usage[c] if usage else 1)) / size)
     return float(np.exp(-min(max(ratio, 0.0), 700.0)))
 
 
-def random_runs(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to how often each byte value starts a character outside long runs, without case."""
+    for batch in batches:
+        counts = np.zeros(256, dtype=np.int64)
+        for part in steps(batch.column(0)):
+            rest = b"\n".join(RUN_BYTES.sub(b"", text) for text in part if text).lower()
+            counts += np.bincount(np.frombuffer(rest, dtype=np.uint8), minlength=256)
+        yield pa.RecordBatch.from_pydict({"byte": pa.array(np.arange(256)), "n": pa.array(counts)})
+
+
+def usage_of(docs: DataFrame, text_column: str = "text") -> dict[str, float]:
+    """The share of each key character in the table's prose; at most 256 rows come to the driver."""
+    texts = docs.select(F.col(f"`{text_column}`").cast("binary").alias("text"))
+    rows = texts.mapInArrow(counted, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
+    # Bytes that go on with a character are none of their own.
+    counts = {r.byte: r.n for r in rows if not 0x80 <= r.byte < 0xC0}
+    keys = sorted(set(ANY.lower()))
+    total = sum(counts.values()) + len(ANY)
+    return {c: (counts.get(ord(c), 0) + 1) / total for c in keys}
+
+
+def random_runs(
+    text: str, taken: list[tuple[str, int, int]], usage: dict[str, float] | None = None
+) -> list[tuple[str, int, int]]:
     tested = []
     # Spans by their start, and the furthest end up to each: a run is free if the last span that starts
     # before its end, and all before that one, end before its start.
@@ -120,7 +151,7 @@ def random_runs(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
     for m, _, _ in tested:
         prose.subtract(m[0].lower())
     total = sum(prose.values())
-    bounds = [prose_bound(body, alphabet, prose, total) for _, body, alphabet in tested]
+    bounds = [prose_bound(body, alphabet, prose, total, usage or {}) for _, body, alphabet in tested]
     weights = np.array([len(body) for _, body, _ in tested], dtype=float)
     weights /= weights.mean()
     weighted = np.minimum(np.array(bounds) / weights, 1.0)
@@ -135,26 +166,27 @@ def random_runs(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
     ]
 
 
-def spans_of(text: str) -> list[tuple[str, int, int]]:
+def spans_of(text: str, usage: dict[str, float] | None = None) -> list[tuple[str, int, int]]:
+    """Spans by the use of characters in the table's prose; without it, in the text alone."""
     found = base(text)
-    found += random_runs(text, found)
+    found += random_runs(text, found, usage)
     order = {kind: i for i, kind in enumerate([*BASE_KINDS, RANDOM])}
     return sorted(found, key=lambda s: (s[1], order[s[0]]))
 
 
-def _scan(texts: list[bytes | None]) -> pa.Array:
-    found = [spans_of(t.decode()) if t else [] for t in texts]
+def _scan(texts: list[bytes | None], usage: dict[str, float] | None) -> pa.Array:
+    found = [spans_of(t.decode(), usage) if t else [] for t in texts]
     return pa.array(
         [[{"kind": k, "start": a, "end": b} for k, a, b in row] for row in found], type=SPANS
     )
 
 
-def _redacted(texts: list[bytes | None]) -> pa.Array:
+def _redacted(texts: list[bytes | None], usage: dict[str, float] | None) -> pa.Array:
     out = []
     for raw in texts:
         text = raw.decode() if raw is not None else None
         done, pieces = 0, []
-        for _, start, end in spans_of(text) if text else []:
+        for _, start, end in spans_of(text, usage) if text else []:
             if start >= done:
                 pieces += [text[done:start], REPLACEMENT]
             done = max(done, end)
@@ -162,12 +194,15 @@ def _redacted(texts: list[bytes | None]) -> pa.Array:
     return pa.array(out, type=pa.string())
 
 
-#: Text to its spans (kind, start, end) in code points, end exclusive, by start and then kind.
-#: A null or empty text has none.
-spans = on_texts(_scan, SPANS)
+def spans(text: Column, usage: dict[str, float] | None = None) -> Column:
+    """Text to its spans (kind, start, end) in code points, end exclusive, by start and then kind.
+    A null or empty text has none."""
+    return on_texts(partial(_scan, usage=usage), SPANS)(text)
+
 
-#: Text with every span, or union of overlapping spans, replaced; null stays null.
-redacted = on_texts(_redacted, pa.string())
+def redacted(text: Column, usage: dict[str, float] | None = None) -> Column:
+    """Text with every span, or union of overlapping spans, replaced; null stays null."""
+    return on_texts(partial(_redacted, usage=usage), pa.string())(text)
 
 
 def listed(found: Column) -> Column:
@@ -185,7 +220,7 @@ def redact(docs: DataFrame, text_column: str = "text", size_column: str | None =
     """docs with the secrets in their texts replaced, and size_column (if docs has it) counted
     anew where the text has changed. All rows and columns stay."""
     (text,) = fresh(docs, "redacted")
-    out = docs.withColumn(text, redacted(F.col(text_column)))
+    out = docs.withColumn(text, redacted(F.col(text_column), usage_of(docs, text_column)))
     changed = ~F.col(text).eqNullSafe(F.col(text_column))
     columns = []
     for field in docs.schema:
