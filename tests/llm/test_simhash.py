@@ -108,6 +108,13 @@ def test_one_of_each_group_stays(odd_docs, make_docs):
     assert [r.doc_id for r in simhash.keep_one(repeated).collect()] == [2]
 
 
+def test_rows_that_repeat_an_id_with_other_texts_stay(make_docs):
+    texts = ["a b c d e f g", "h i j k l m n", "o p q r s t u"]
+    docs = make_docs([(1, texts[0]), (2, texts[1]), (2, texts[2]), (2, texts[2]), (2, texts[0]), (3, texts[1])])
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept) == [(1, texts[0]), (2, texts[1]), (2, texts[2])]
+
+
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.keep_one(no_docs).count() == 0

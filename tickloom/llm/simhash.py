@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import on_texts, written
+from tickloom.llm.common import fresh, on_texts, written
 from tickloom.llm.components import components
 
 COVERING_RADIUS = 1
@@ -159,7 +159,7 @@ def links(points: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, id_column: str, text_column: str, threshold: int):
-    """The fingerprinted rows (id, point), and (point, component) for each distinct point."""
+    """The fingerprinted rows (id, point), and (point, first_id, class, component) for each distinct point."""
     rows = written(
         docs.select(F.col(id_column).alias("id"), fingerprint(F.col(text_column)).alias("point")),
         "fingerprints",
@@ -172,7 +172,7 @@ def _labelled(docs: DataFrame, id_column: str, text_column: str, threshold: int)
     )
     named = written(named, "classes")
     least = named.groupBy("class").agg(F.min("first_id").alias("component"))
-    return rows, named.join(least, "class").select("point", "component")
+    return rows, named.join(least, "class").select("point", "first_id", "class", "component")
 
 
 def near_duplicates(
@@ -196,10 +196,18 @@ def hexed(point: Column) -> Column:
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with one left of each group of near duplicates: the one with the smallest id.
 
-    Ids are expected to be unique; of rows that repeat an id, one is left. Rows with a null id
-    cannot be named, so all of them stay. All columns come back as they are, whatever their names.
+    A row is named by its id and fingerprint, so rows that repeat an id with other texts are documents of their
+    own. Rows with a null id cannot be told apart, so all of them stay. All columns come back as they are,
+    whatever their names.
     """
-    _, labelled = _labelled(docs.where(F.col(id_column).isNotNull()), id_column, text_column, THRESHOLD)
-    stays = labelled.select(F.col("component").alias(id_column)).distinct()
-    kept = docs.join(stays, id_column, "left_semi").dropDuplicates([id_column])
+    named = docs.where(F.col(id_column).isNotNull())
+    _, labelled = _labelled(named, id_column, text_column, THRESHOLD)
+    (point,) = fresh(docs, "point")
+    # Of the fingerprints of a group under its smallest id, one.
+    stays = labelled.where("first_id = component").groupBy("class").agg(
+        F.min("first_id").alias(id_column), F.min("point").alias(point)
+    )
+    pointed = named.withColumn(point, fingerprint(F.col(text_column)))
+    kept = pointed.join(stays.select(id_column, point), [id_column, point], "left_semi").dropDuplicates([id_column, point])
+    kept = kept.select(*(F.col(f"`{c}`") for c in docs.columns))
     return kept.unionByName(docs.where(F.col(id_column).isNull()))
