@@ -8,7 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
+def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read again."""
     path = scratch(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -90,3 +90,25 @@ def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(counts)), counts)
     starts = np.cumsum(counts) - counts
     return owner, np.arange(len(owner)) - starts[owner]
+
+
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows with group `key`, plus `place` (from 0 in the order given) and `n` (rows of the group).
+
+    The rows must be read from a written table: what tells equal rows apart is their place in it.
+    """
+    names = rows.columns
+    told = rows.withColumn("_row", F.monotonically_increasing_id())
+    spread = written(told, "rows").repartitionByRange("key", *order, "_row")
+    inside = spread.sortWithinPartitions("key", *order, "_row").drop("_row")
+    placed = written(inside.withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    parts = placed.groupBy("key", "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    # At most one row per group and partition.
+    whole = Window.partitionBy("key")
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns(
+        {"n": F.sum("_rows").over(whole), "_before": F.coalesce(F.sum("_rows").over(before), F.lit(0))}
+    )
+    place = F.col("_before") + F.col("_at") - F.col("_first")
+    return placed.join(parts.drop("_rows"), ["key", "_part"]).select(*names, place.alias("place"), "n")

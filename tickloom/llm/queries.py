@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, decontaminate, extraction, language, mixing, passages, quality, repetition, secrets, simhash
+from tickloom.llm import (
+    chat,
+    decontaminate,
+    extraction,
+    language,
+    merkle,
+    mixing,
+    negatives,
+    passages,
+    quality,
+    repetition,
+    secrets,
+    simhash,
+    toxicity,
+)
 from tickloom.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +252,168 @@ def op10_secret_scan(spark, sf_dir):
         F.sha2(base, 256).alias("base_sha256"),
         secrets.listed(F.col("found")).alias("spans"),
     )
+
+
+@query
+def op11_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold != 1))
+    scored = docs.select(
+        "doc_id",
+        F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
+        toxicity.score(machine, F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
+#: The letters that tampering changes, and what they become.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Every document's proof, folded again from its leaf after the texts of a fifth were tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    names = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    changed = F.when(tampered, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    values = [F.col(c) for c in names]
+    rows = docs.select(
+        "doc_id", "source", merkle.leaf(*values, F.col("text")).alias("leaf"), merkle.leaf(*values, changed).alias("now")
+    )
+    kept = merkle.manifest(rows, "source", ["doc_id"], "leaf")
+    folded = merkle.fold(F.col("now"), F.col("path"))
+    return kept.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
+def _levels_of_sql(leaves: str, prefix: str, levels: int) -> str:
+    """Trees over `leaves` (key, place, n, node) as one table per level, with each node's siblings; a tree's
+    last level has n = 1. Sixteen to the number of levels must reach the largest n."""
+    made, below = [], leaves
+    for level in range(levels):
+        run = "PARTITION BY key, place // 16 ORDER BY place"
+        whole = f"{run} ROWS BETWEEN UNBOUNDED PRECEDING AND "
+        made.append(f"""
+{prefix}{level} AS (
+    SELECT *,
+           coalesce(string_agg(node, '') OVER ({whole} 1 PRECEDING), '')
+               || coalesce(string_agg(node, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS beside,
+           coalesce(string_agg(node, '') OVER ({whole} 1 PRECEDING), '') AS before,
+           coalesce(string_agg(node, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM {below}),
+{prefix}{level}_up AS (
+    SELECT key, place // 16 AS place, (any_value(n) + 15) // 16 AS n, sha256(string_agg(node, '' ORDER BY place)) AS node
+    FROM {prefix}{level} WHERE n > 1 GROUP BY key, place // 16)""")
+        below = f"{prefix}{level}_up"
+    return ",".join(made)
+
+
+def _climbed(leaves: str, prefix: str, levels: int, start: str) -> str:
+    """Leaves joined with their ancestors: the siblings on the way, and the node folded from `start`."""
+    folded, beside, joins = start, "''", []
+    for level in range(levels):
+        at = f"{prefix}{level}"
+        joins.append(f"LEFT JOIN {at} ON {at}.n > 1 AND {at}.key = l.key AND {at}.place = l.place // {16**level}")
+        folded = f"CASE WHEN {at}.n > 1 THEN sha256({at}.before || {folded} || {at}.after) ELSE {folded} END"
+        beside += f" || coalesce({at}.beside, '')"
+    return f"SELECT l.*, {beside} AS beside, {folded} AS folded FROM {leaves} l " + " ".join(joins)
+
+
+def _field_sql(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+# Levels for groups of up to 16^5 rows and for up to 16^3 groups; the remainder of a crc32 is taken bit by bit.
+ORACLE["op12_merkle_manifest"] = rf"""
+WITH bits AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b)
+                ORDER BY b) AS t
+    FROM (SELECT unnest(range(256)) AS b)),
+ids AS (
+    SELECT doc_id, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+        lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295), 4294967295) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents), bits),
+docs AS (
+    SELECT d.doc_id, source, {_leaf_sql("text")} AS leaf,
+           {_leaf_sql(f"CASE WHEN crc % 5 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END")} AS now
+    FROM documents d LEFT JOIN ids USING (doc_id)),
+leaves AS (
+    SELECT *, coalesce('=' || source, '-') AS key, leaf AS node, count(*) OVER (PARTITION BY source) AS n,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+    FROM docs),
+{_levels_of_sql("leaves", "low", 5)},
+climbed AS ({_climbed("leaves", "low", 5, "l.now")}),
+subroots AS (
+    SELECT key AS name, node, '' AS key, count(*) OVER () AS n, row_number() OVER (ORDER BY key) - 1 AS place
+    FROM (SELECT key, leaf AS node FROM leaves WHERE n = 1
+          {" ".join(f"UNION ALL SELECT key, node FROM low{i}_up WHERE n = 1" for i in range(5))})),
+{_levels_of_sql("subroots", "high", 3)},
+roots AS (SELECT node AS root FROM subroots WHERE n = 1
+          {" ".join(f"UNION ALL SELECT node FROM high{i}_up WHERE n = 1" for i in range(3))}),
+over AS ({_climbed("subroots", "high", 3, "l.node")}),
+-- The way above the subroot is folded from what the leaf led to, not from the subroot itself.
+joined AS (
+    SELECT c.doc_id, c.leaf, o.node AS subroot, r.root, sha256(c.beside || o.beside) AS proof_sha256, c.folded, o.place, o.name
+    FROM climbed c JOIN over o ON o.name = c.key, roots r),
+tops AS (
+    SELECT l.*, {{folds}} AS folded_root
+    FROM joined l {{joins}})
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM tops
+"""
+
+
+def _upper_fold(sql: str, levels: int) -> str:
+    folded, joins = "l.folded", []
+    for level in range(levels):
+        at = f"high{level}"
+        joins.append(f"LEFT JOIN {at} ON {at}.n > 1 AND {at}.place = l.place // {16**level}")
+        folded = f"CASE WHEN {at}.n > 1 THEN sha256({at}.before || {folded} || {at}.after) ELSE {folded} END"
+    return sql.replace("{folds}", folded).replace("{joins}", " ".join(joins))
+
+
+ORACLE["op12_merkle_manifest"] = _upper_fold(ORACLE["op12_merkle_manifest"], 3)
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))
+
+
+ORACLE["op13_hard_negatives"] = f"""
+WITH rows AS (
+    SELECT row_number() OVER () AS rid, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor({256} * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.rid, a.id AS anchor_id, b.id, a.label = b.label AS same,
+           CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM rows a, rows b WHERE a.id % 100 = 0 AND a.rid <> b.rid),
+positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, id) <= {negatives.POSITIVES})
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.rid, p.id, p.score ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.rid = p.rid AND NOT n.same
+     AND {negatives.LEAST} * p.score <= {negatives.WHOLE} * n.score
+     AND {negatives.WHOLE} * n.score <= {negatives.MOST} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""
