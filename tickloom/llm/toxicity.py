@@ -183,10 +183,14 @@ def sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
     """
     asked = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     known = asked.where("label in (0, 1)").distinct()
-    known = known.join(docs.select(F.col(id_column).alias("id")), "id", "left_semi")
+    known = written(known.join(docs.select(F.col(id_column).alias("id")), "id", "left_semi"), "known")
+    # Of more ids than that, the rank is taken among some 2 * SAMPLE with small hashes, not among all.
+    share, low = F.lit(1.0), F.xxhash64("id").cast("double") / 2.0**64 + 0.5
+    for r in known.groupBy("label").count().collect():
+        share = F.when(F.col("label") == r["label"], 2.0 * SAMPLE / r["count"]).otherwise(share)
     least = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    # Spark limits rows by rank before the shuffle, so no task gets all ids of a label.
-    picked = written(known.withColumn("_n", F.row_number().over(least)).where(F.col("_n") <= SAMPLE), "picked")
+    picked = known.where(low <= share).withColumn("_n", F.row_number().over(least)).where(F.col("_n") <= SAMPLE)
+    picked = written(picked, "picked")
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     rows = rows.join(F.broadcast(picked.select("id").distinct()), "id", "left_semi")
     first = Window.partitionBy("id").orderBy(F.xxhash64("text"), "text")
