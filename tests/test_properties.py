@@ -72,14 +72,27 @@ def test_exact_sum_edges(spark):
     large = spark.range(1000).selectExpr("9e12D + id / 8 AS x")
     assert str(large.agg(ohlcv.exact_sum("x")).first()[0]) == "9000000000062437.50000000"
     assert rows.where("x IS NULL").agg(ohlcv.exact_sum("x")).first()[0] is None
-    # Half a unit goes up as in DECIMAL; huge values add up, and what is no number below 1e20 does not.
-    odd = spark.createDataFrame([(5e-9,), (1.5,), (1e19,), (float("nan"),), (float("inf"),), (-1e300,)], "x double")
-    assert str(odd.agg(ohlcv.exact_sum("x")).first()[0]) == "10000000000000000001.50000001"
+    # Half a unit goes up as in DECIMAL, and huge values add up.
+    odd = spark.createDataFrame([(5e-9,), (1.5,), (1e19,), (1e20,), (3e20,)], "x double")
+    assert str(odd.agg(ohlcv.exact_sum("x")).first()[0]) == "410000000000000000001.50000001"
+    # What the type cannot hold makes the whole sum NULL; no part is left out.
+    for bad in ([float("nan")], [float("inf")], [-1e300], [1e31, -1e31], [9e29, 9e29]):
+        lost = odd.union(spark.createDataFrame([(x,) for x in bad], "x double"))
+        assert lost.agg(ohlcv.exact_sum("x")).first()[0] is None
     many = spark.range(20000).selectExpr("(rand(3) - 0.4) * pow(10, id % 9) AS x").cache()
     decimal = many.agg(F.sum(F.col("x").cast("decimal(28,8)"))).first()[0]
     assert many.agg(ohlcv.exact_sum("x")).first()[0] == decimal
 
 
+def test_a_part_without_a_sum_leaves_the_whole_without_one(spark):
+    rows = [("a", 1, 1.0, 1e31), ("a", 2, 1.0, 2.0), ("b", 3, 1.0, 2.0)]
+    frame = spark.createDataFrame(rows, "symbol string, trade_id bigint, price double, qty double")
+    frame = frame.withColumns({"trade_time": F.lit("2024-01-01").cast("timestamp"), "quote_qty": F.col("qty")})
+    states = ohlcv.partial(frame, extra=["trade_id"])
+    for bars in (ohlcv.bars(states), ohlcv.bars(ohlcv.partial(frame))):
+        assert {r.symbol: (r.volume, r.trade_count) for r in bars.collect()} == {"a": (None, 2), "b": (2.0, 1)}
+
+
 def test_latest_price_ignores_late_blocks(spark, sf_dir):
     rows = samples.trades(spark, sf_dir)
     old = latest.partial(rows.where("trade_id < 500"))

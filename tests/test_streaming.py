@@ -10,7 +10,7 @@ from pyspark.testing import assertDataFrameEqual
 from tickloom.operators import audit, dedup, latest, normalize, ohlcv
 from tickloom.operators.throttle import throttle
 from tickloom.plans import maintenance
-from tickloom.sinks import storage
+from tickloom.sinks import storage, tiers
 from tickloom.sources import log, samples
 from tickloom.streaming import jobs
 from tickloom.streaming.metrics import IngestTotals
@@ -92,7 +92,7 @@ def test_hot_path_equals_batch(spark, sf_dir, topic, tmp_path):
     assertDataFrameEqual(
         latest.prices(jobs.price_states(spark, into)), latest.prices(latest.partial(trades))
     )
-    assert spark.read.parquet(into.raw).count() == trades.count()
+    assert jobs.raw_trades(spark, into).count() == trades.count()
 
 
 def test_arrival_dedup_loses_no_old_rows(spark, tmp_path):
@@ -125,18 +125,19 @@ def test_replays_and_old_copies_change_nothing(spark, sf_dir, tmp_path):
     trades = samples.trades(spark, sf_dir)
     bars = ohlcv.bars(jobs.minute_states(spark, into))
     assertDataFrameEqual(bars, ohlcv.bars(ohlcv.partial(trades)), rtol=0, atol=0)
-    assert spark.read.parquet(into.raw).count() == trades.count()
+    assert jobs.raw_trades(spark, into).count() == trades.count()
 
 
 def test_states_do_not_grow_with_batches(spark, sf_dir, tmp_path):
     into = jobs.HotTables.under(str(tmp_path / "hot"))
     hot = normalize.to_hot(samples.bronze(spark, sf_dir)).where("to_date(trade_time) = '2024-01-03'")
-    for batch_id in range(6):
-        jobs.write_hot_batch(hot.where(F.pmod("trade_id", F.lit(6)) == batch_id), batch_id, into)
+    for batch_id in range(9):
+        jobs.write_hot_batch(hot.where(F.pmod("trade_id", F.lit(9)) == batch_id), batch_id, into)
+        for path in (into.raw, into.seen, into.minute):
+            assert len(tiers.folders(spark, path, "2024-01-03")) <= tiers.FAN + 1
         states = jobs.minute_states(spark, into)
         assert states.count() == states.select("symbol", "bucket_ts").distinct().count()
         assert jobs.price_states(spark, into).groupBy("symbol").count().where("count > 1").isEmpty()
-    assert len(storage.values(spark, f"{into.minute}/dt=2024-01-03", "batch_id")) <= 2
     assert len(storage.values(spark, into.latest, "batch_id")) <= 2
     right = ohlcv.partial(dedup.latest(hot))
     assertDataFrameEqual(ohlcv.bars(jobs.minute_states(spark, into)), ohlcv.bars(right), rtol=0, atol=0)
@@ -166,7 +167,7 @@ def test_windowed_bars_keep_late_trades_and_the_last_window(spark, sf_dir, tmp_p
         trades.where(F.col("trade_id").between(700 - 350 * part, 1049 - 350 * part)).write.mode("append").parquet(path)
         rows = spark.readStream.schema(trades.schema).parquet(path)
         jobs.windowed_bars(rows, out, str(tmp_path / "check"), window, interval=None).awaitTermination()
-    found = storage.read_versions(spark, out, storage.newest_versions(spark, out))
+    found = jobs.window_states(spark, out)
     right = ohlcv.bars(ohlcv.partial(trades.where("trade_id < 1050"), window.split()[1]))
     assertDataFrameEqual(ohlcv.bars(found), right, rtol=0, atol=0)
 

@@ -40,7 +40,7 @@ def decode_log(records: DataFrame) -> DataFrame:
     bad = _names(
         *(F.when(F.col(f).isNull(), F.lit(f)) for f in TRADE.fieldNames() if f != "ingested_at"),
         *(
-            F.when(F.col(f).isNotNull() & numbers.finite(F.col(f)).isNull(), F.lit(f))
+            F.when(F.col(f).isNotNull() & numbers.amount(F.col(f)).isNull(), F.lit(f))
             for f in ("price", "qty", "quote_qty")
         ),
         F.when(times.from_iso("ingested_at").isNull(), F.lit("ingested_at")),
@@ -70,14 +70,18 @@ def decode_feed(lines: DataFrame) -> DataFrame:
         "kind",
         F.expr("try_cast(trade_id AS BIGINT)").alias("trade_id"),
         "symbol",
-        numbers.finite(F.expr("try_cast(price AS DOUBLE)")).alias("price"),
-        numbers.finite(F.expr("try_cast(qty AS DOUBLE)")).alias("qty"),
+        numbers.amount(F.expr("try_cast(price AS DOUBLE)")).alias("price"),
+        numbers.amount(F.expr("try_cast(qty AS DOUBLE)")).alias("qty"),
         F.expr("try_cast(trade_time_ms AS BIGINT)").alias("trade_time_ms"),
         F.expr("try_cast(event_time_ms AS BIGINT)").alias("event_time_ms"),
         "is_buyer_maker",
     )
     needed = [f for f in TRADE.fieldNames() if f not in ("quote_qty", "ingested_at")]
-    missing = _names(*(F.when(F.col(f).isNull(), F.lit(f)) for f in needed))
+    quote = numbers.quote_value(F.col("price"), F.col("qty"))
+    missing = _names(
+        *(F.when(F.col(f).isNull(), F.lit(f)) for f in needed),
+        F.when(quote.isNotNull() & numbers.amount(quote).isNull(), F.lit("quote_qty")),
+    )
     return fields.select(
         "raw",
         "kind",
@@ -85,7 +89,7 @@ def decode_feed(lines: DataFrame) -> DataFrame:
         "symbol",
         "price",
         "qty",
-        numbers.quote_value(F.col("price"), F.col("qty")).alias("quote_qty"),
+        quote.alias("quote_qty"),
         "trade_time_ms",
         "event_time_ms",
         "is_buyer_maker",

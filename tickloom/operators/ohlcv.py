@@ -106,12 +106,18 @@ def merge_states(states: DataFrame, unit: str | None = None, bucket: str = "buck
         F.max("close_key").alias("close_key"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.sum("volume").cast("decimal(38,8)").alias("volume"),
-        F.sum("quote_volume").cast("decimal(38,8)").alias("quote_volume"),
+        _whole_sum("volume").alias("volume"),
+        _whole_sum("quote_volume").alias("quote_volume"),
         F.sum("trade_count").alias("trade_count"),
     )
 
 
+def _whole_sum(total: str) -> Column:
+    """The sum of partial totals; NULL, as in ``exact_sum``, if one of them has no value."""
+    known = F.count(total) == F.count(F.lit(1))
+    return F.when(known, F.try_sum(total)).try_cast("decimal(38,8)")
+
+
 def bars(states: DataFrame, unit: str | None = None, bucket: str = "bucket_ts") -> DataFrame:
     """Finished bars from states; unused columns are pruned down to the state scan."""
     return merge_states(states, unit, bucket).select(

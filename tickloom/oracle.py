@@ -303,6 +303,21 @@ SELECT trade_id, symbol, price, qty, quote_qty, trade_time, event_time, is_buyer
     "expired_hot": f"""WITH {TRADES}
 SELECT CAST(trade_time AS DATE) AS dt, COUNT(*) AS trades FROM trades
 WHERE CAST(trade_time AS DATE) >= CAST({_AS_OF} - INTERVAL 7 DAY AS DATE) GROUP BY 1""",
+    "stream_old_copies": f"""WITH {TRADES}
+SELECT symbol, trade_id, price, qty, trade_time FROM trades
+UNION ALL
+SELECT symbol, -1 - trade_id, price, qty, trade_time - INTERVAL 730 DAY FROM trades WHERE trade_id % 20 = 0""",
+    "compacted_hot": f"""WITH {TRADES}
+SELECT * RENAME (open AS open_price, close AS close_price) FROM ({_bars('trades', 'minute', 'bucket_ts')})""",
+    "tiered_bronze": f"WITH {BRONZE} {_WIRE}",
+    "wide_amounts": f"""WITH {BRONZE}, wide AS (
+  SELECT symbol, qty * 5e18 AS wide, concat_ws(',', CASE WHEN qty * 5e18 >= 1e20 THEN 'qty' END,
+         CASE WHEN qty * 3e18 >= 1e20 THEN 'quote_qty' END) AS bad FROM bronze),
+-- The shortest decimal text of a double is what it stands for.
+counted AS (SELECT *, CAST(CAST(wide AS VARCHAR) AS DECIMAL(38,8)) AS amount FROM wide)
+SELECT symbol, CASE WHEN bad = '' THEN 'usable' ELSE bad END AS verdict, COUNT(*) AS n,
+       CAST(SUM(CASE WHEN bad = '' THEN amount END) AS VARCHAR) AS volume, CAST(SUM(amount) AS VARCHAR) AS "all"
+FROM counted GROUP BY 1, 2""",
     "stream_ohlcv_1m": f"WITH {TRADES} {_bars('trades', 'minute', 'bucket_ts')}",
     "stream_latest_price": f"WITH {TRADES} {_LATEST}",
     "stream_windowed_bars": f"WITH {TRADES} {_bars('trades', 'minute', 'bucket_ts')}",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import dedup, ohlcv
 from tickloom.operators.retention import oldest_date
 from tickloom.plans import layers
-from tickloom.sinks import storage, tables
+from tickloom.sinks import storage, tables, tiers
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -18,9 +18,13 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 def compact_states(spark: SparkSession, path: str, day: date) -> None:
     """Merge all state rows of one day, from whatever batches, into one row per symbol and minute.
 
-    For tables whose batches hold parts of a day; the day must be closed to writers.
+    For tables whose batches hold parts of a day, in tiers or not; without tiers the day must be closed to
+    writers.
     """
     folder = f"{path}/dt={day.isoformat()}"
+    if tiers.is_tiered(spark, folder):
+        tiers.merge_all(spark, path, day.isoformat(), None, ohlcv.merge_states, ["symbol", "bucket_ts"])
+        return
     merged = ohlcv.merge_states(spark.read.parquet(folder))
     _swap_folder(merged.withColumn("batch_id", F.lit(-1).cast("bigint")), folder, ["batch_id"])
 
@@ -31,8 +35,12 @@ def compact_files(
     """Rewrite one folder of a table into files of about ``target`` bytes.
 
     The folder must be closed to writers. A day level below it stays; a batch level becomes the
-    single batch -1, so that all folders of the table keep one layout.
+    single batch -1, so that all folders of the table keep one layout. A day in tiers is not for this
+    function, as its folders count only if the manifest lists them: ``tiers.merge_all`` rewrites it.
     """
+    inner = [folder, *(f"{folder}/dt={day}" for day in storage.values(spark, folder, "dt"))]
+    if any(tiers.is_tiered(spark, f) for f in inner):
+        raise ValueError(f"{folder} is kept in tiers")
     rows = spark.read.parquet(folder)
     levels = [c for c in ("dt", "batch_id") if c in rows.columns]
     if "batch_id" in levels:

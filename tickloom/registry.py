@@ -8,13 +8,13 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import text
+from tickloom.functions import numbers, text
 from tickloom.operators import audit, dedup, latest, normalize, ohlcv, quality, retention, snapshots
 from tickloom.operators.throttle import throttle
 from tickloom.plans import layers, maintenance, serving
 from tickloom.schema import BRONZE, SILVER_COLUMNS, TRADE
 from tickloom.session import pin, scratch
-from tickloom.sinks import storage, tables
+from tickloom.sinks import storage, tables, tiers
 from tickloom.sources import log, samples
 from tickloom.streaming import jobs
 
@@ -270,6 +270,16 @@ def decoded_log(spark, sf_dir):
     return layers.bronze(samples.log_records(samples.bronze(spark, sf_dir)))
 
 
+@query
+def wide_amounts(spark, sf_dir):
+    """Quantities about the largest that are taken: what the decoder lets through and the sum of exactly that."""
+    decoded = normalize.decode_log(samples.log_records(samples.wide_amounts(samples.bronze(spark, sf_dir))))
+    total = numbers.exact_sum(F.when(F.col("bad_fields").isNull(), F.col("qty")))
+    return decoded.groupBy("symbol", F.coalesce("bad_fields", F.lit("usable")).alias("verdict")).agg(
+        F.count(F.lit(1)).alias("n"), total.cast("string").alias("volume"), numbers.exact_sum("qty").cast("string").alias("all")
+    )
+
+
 @query
 def hot_rows(spark, sf_dir):
     return normalize.to_hot(layers.bronze(samples.log_records(samples.bronze(spark, sf_dir))))
@@ -412,14 +422,18 @@ PARTS = 3
 
 def _run_log(spark, sf_dir, start):
     """Deliver the log part by part; ``start(records)`` gives the streaming queries to run after each."""
-    topic = scratch(spark, "topic")
     rows = samples.log_records_with_bad(samples.bronze(spark, sf_dir))
     number = F.split("key", ":")[1].cast("bigint")
     copy = F.col("offset") >= 1_000_000_000
     part = F.when(copy, F.pmod(F.expr("split(key, ':')[1] div 10"), F.lit(PARTS)))
     part = part.when(number % 7 == 0, PARTS - 1).otherwise(F.pmod(number, F.lit(PARTS - 1)))
+    _deliver(spark, rows, F.coalesce(part, F.lit(0)), start)
+
+
+def _deliver(spark, rows, part, start):
+    topic = scratch(spark, "topic")
     for k in range(PARTS):
-        rows.where(F.coalesce(part, F.lit(0)) == k).write.mode("append").json(topic)
+        rows.where(part == k).write.mode("append").json(topic)
         for running in start(log.file_log(spark, topic)):
             running.awaitTermination()
 
@@ -439,14 +453,19 @@ def _landed(spark, sf_dir):
 
 
 def _hot(spark, sf_dir):
+    into, start = _hot_tables(spark)
+    _run_log(spark, sf_dir, start)
+    return into
+
+
+def _hot_tables(spark):
     into = jobs.HotTables.under(scratch(spark, "hot"))
 
     def start(records):
         bronze = normalize.valid(jobs.decoded(records))
         return [jobs.hot_path(bronze, into, f"{into.raw}-checkpoint", interval=None)]
 
-    _run_log(spark, sf_dir, start)
-    return into
+    return into, start
 
 
 @query
@@ -500,6 +519,19 @@ def compacted_bronze(spark, sf_dir):
     return spark.read.parquet(path).select(*BRONZE.fieldNames())
 
 
+@query
+def tiered_bronze(spark, sf_dir):
+    """Bronze by day alone, its folders merged while the log is read; two folders make a full tier here."""
+    path = scratch(spark, "tiers")
+
+    def start(records):
+        rows, beside = jobs.decoded(records), (f"{path}-bad", f"{path}-commits", f"{path}-checkpoint")
+        return [jobs.land_bronze_tiered(rows, path, *beside, interval=None, fan=2)]
+
+    _run_log(spark, sf_dir, start)
+    return tiers.read(spark, path).select(*BRONZE.fieldNames())
+
+
 @query
 def log_quarantine(spark, sf_dir):
     """What the stream set aside, by its text."""
@@ -541,7 +573,7 @@ def two_consumers(spark, sf_dir):
 
     _run_log(spark, sf_dir, start)
     cold = audit.reconcile(spark.read.parquet(path)).drop("removed")
-    hot = spark.read.parquet(into.raw).groupBy("symbol").agg(F.count(F.lit(1)).alias("hot_rows"))
+    hot = jobs.raw_trades(spark, into).groupBy("symbol").agg(F.count(F.lit(1)).alias("hot_rows"))
     return cold.join(hot, "symbol")
 
 
@@ -549,7 +581,29 @@ def two_consumers(spark, sf_dir):
 def stream_hot_rows(spark, sf_dir):
     """The raw trades of the hot path: each once."""
     columns = ["trade_id", "symbol", "price", "qty", "quote_qty", "trade_time", "event_time", "is_buyer_maker"]
-    return spark.read.parquet(_hot(spark, sf_dir).raw).select(*columns)
+    return jobs.raw_trades(spark, _hot(spark, sf_dir)).select(*columns)
+
+
+@query
+def stream_old_copies(spark, sf_dir):
+    """Trades of two years ago among those of today, and their copies in the last delivery: each once."""
+    into, start = _hot_tables(spark)
+    rows = samples.log_records(samples.old_and_again(samples.bronze(spark, sf_dir)))
+    number = F.split("key", ":")[1].cast("bigint")
+    part = F.when(F.col("offset") >= 3_000_000_000, PARTS - 1).otherwise(F.pmod(number, F.lit(PARTS - 1)))
+    _deliver(spark, rows, part, start)
+    return jobs.raw_trades(spark, into).select("symbol", "trade_id", "price", "qty", "trade_time")
+
+
+@query
+def compacted_hot(spark, sf_dir):
+    """The minute states as they lie in the table after three deliveries and a rewrite of every day."""
+    into = _hot(spark, sf_dir)
+    for day in tiers.days(spark, into.minute):
+        jobs.merge_hot(spark, into, day, whole=True)
+    stored = tiers.read(spark, into.minute)
+    names = ["symbol", "bucket_ts", "open_price", "close_price", "high", "low", "trade_count"]
+    return stored.select(*names, *(F.col(c).cast("double").alias(c) for c in ("volume", "quote_volume")))
 
 
 @query
@@ -568,7 +622,7 @@ def expired_hot(spark, sf_dir):
     into = _hot(spark, sf_dir)
     now = as_of(spark, sf_dir)
     maintenance.expire_folders(spark, into.raw, now)
-    left = spark.read.parquet(into.raw)
+    left = jobs.raw_trades(spark, into)
     return left.groupBy("dt").agg(F.count(F.lit(1)).alias("trades"))
 
 
@@ -586,7 +640,7 @@ def _run_trades(spark, sf_dir, start):
 def stream_windowed_bars(spark, sf_dir):
     path = scratch(spark, "windows")
     _run_trades(spark, sf_dir, lambda rows: jobs.windowed_bars(rows, path, f"{path}-checkpoint", interval=None))
-    return ohlcv.bars(storage.read_versions(spark, path, storage.newest_versions(spark, path)))
+    return ohlcv.bars(jobs.window_states(spark, path))
 
 
 @query

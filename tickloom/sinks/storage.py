@@ -25,6 +25,30 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in listed if s.getPath().getName()[0] not in "._"]
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below; none if the path is missing."""
+    system, found = _path(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(found) if s.isFile()] if system.exists(found) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, found = _path(spark, path)
+    out = system.create(found, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, found = _path(spark, path)
+    source = system.open(found)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, found = _path(spark, path)
     files.delete(found, True)
@@ -48,18 +72,6 @@ def read_versions(spark: SparkSession, path: str, picked: list[str]) -> DataFram
     return spark.read.option("basePath", path).parquet(*(f"{path}/{p}" for p in picked))
 
 
-def newest_versions(spark: SparkSession, path: str, before: int | None = None, days: list[str] | None = None) -> list[str]:
-    """For a table laid out by ``dt`` and ``batch_id`` in which each batch holds all of its day: the
-    last batch of every day, or the last below ``before``."""
-    found = []
-    for day in values(spark, path, "dt") if days is None else days:
-        batches = [int(b) for b in values(spark, f"{path}/dt={day}", "batch_id")]
-        batches = [b for b in batches if before is None or b < before]
-        if batches:
-            found.append(f"dt={day}/batch_id={max(batches)}")
-    return found
-
-
 def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the last ``keep`` batches below a folder; readers may still be in the one before."""
     batches = sorted(int(b) for b in values(spark, path, "batch_id"))

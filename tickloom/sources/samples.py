@@ -119,6 +119,11 @@ def log_records_with_bad(bronze_rows: DataFrame) -> DataFrame:
     return records.withColumn("value", F.explode(values))
 
 
+def wide_amounts(bronze_rows: DataFrame) -> DataFrame:
+    """Bronze rows with quantities about the largest that are taken."""
+    return bronze_rows.withColumns({"qty": F.col("qty") * 5e18, "quote_qty": F.col("qty") * 3e18})
+
+
 def same_time_copies(bronze_rows: DataFrame) -> DataFrame:
     """Redelivered rows with the log time of the first delivery and a price of their own, so that the
     offset alone says which version is the newest."""
@@ -187,6 +192,23 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.explode(lines).alias("value"))
 
 
+def old_and_again(bronze_rows: DataFrame) -> DataFrame:
+    """First deliveries with each 20th trade once more as a trade of two years before, under an id of its own, and
+    copies of those: the tenth part of a log that came late, and again."""
+    first = bronze_rows.where("kafka_offset < 1000000000")
+    two_years = 730 * 86_400_000
+    old = first.where("trade_id % 20 = 0").withColumns(
+        {
+            "trade_id": -1 - F.col("trade_id"),
+            "trade_time_ms": F.col("trade_time_ms") - two_years,
+            "event_time_ms": F.col("event_time_ms") - two_years,
+            "kafka_offset": 2_000_000_000 + F.col("trade_id"),
+        }
+    )
+    again = old.withColumn("kafka_offset", F.col("kafka_offset") + 1_000_000_000)
+    return first.unionByName(old).unionByName(again)
+
+
 def kline_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly candles of the trades as REST answers, one per symbol and day.
 

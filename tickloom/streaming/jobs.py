@@ -10,17 +10,20 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tickloom.operators import dedup, latest, normalize, ohlcv
+from tickloom.operators import dedup, latest, membership, normalize, ohlcv
 from tickloom.operators.throttle import throttle
-from tickloom.sinks import publish, storage, tables
+from tickloom.sinks import publish, storage, tables, tiers
 
 COLD_INTERVAL = "30 seconds"
 HOT_INTERVAL = "10 seconds"
+_BRONZE_ORDER = ["symbol", "trade_id"]
+#: Days whose spans of trade time are looked up one by one; beyond that, by one span for all.
+_SPANS = 64
 
 
 def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
@@ -48,18 +51,53 @@ def land_bronze(
     closed may be compacted.
     """
 
+    def store(good: DataFrame, batch_id: int) -> None:
+        placed = good.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        tables.overwrite_partitions(placed, path, ["symbol", "dt", "batch_id"])
+
+    return _land(decoded_rows, store, quarantine, commits, checkpoint, interval)
+
+
+def land_bronze_tiered(
+    decoded_rows: DataFrame,
+    path: str,
+    quarantine: str,
+    commits: str,
+    checkpoint: str,
+    interval: str | None = COLD_INTERVAL,
+    fan: int = tiers.FAN,
+) -> StreamingQuery:
+    """The same for very many symbols and batches: Bronze lies by day alone, its files sorted by symbol, and
+    the folders of a day are merged as the stream runs. Read it with ``tiers.read``."""
+
+    def store(good: DataFrame, batch_id: int) -> None:
+        days = [str(r.dt) for r in good.select("dt").distinct().collect()]
+        tiers.append(good, path, batch_id, days, _BRONZE_ORDER)
+        for day in days:
+            tiers.merge(good.sparkSession, path, day, batch_id, sort_by=_BRONZE_ORDER, fan=fan)
+
+    return _land(decoded_rows, store, quarantine, commits, checkpoint, interval)
+
+
+def _land(
+    decoded_rows: DataFrame,
+    store: Callable[[DataFrame, int], None],
+    quarantine: str,
+    commits: str,
+    checkpoint: str,
+    interval: str | None,
+) -> StreamingQuery:
     def commit(batch: DataFrame, batch_id: int) -> None:
-        seen, own = Observation(), F.lit(batch_id).cast("bigint")
         rows = batch.persist()
         try:
-            good = normalize.valid(rows).withColumns({"dt": F.to_date("kafka_timestamp"), "batch_id": own})
-            good = good.observe(seen, F.count(F.lit(1)).alias("added"))
-            tables.overwrite_partitions(good, path, ["symbol", "dt", "batch_id"])
-            bad = normalize.malformed(rows).withColumn("batch_id", own)
+            good = normalize.valid(rows).withColumn("dt", F.to_date("kafka_timestamp"))
+            store(good, batch_id)
+            added = good.count()
+            bad = normalize.malformed(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             tables.overwrite_partitions(bad, quarantine, ["batch_id"])
         finally:
             rows.unpersist()
-        tables.record_commit(batch.sparkSession, commits, batch_id, "append", seen.get["added"])
+        tables.record_commit(batch.sparkSession, commits, batch_id, "append", added)
 
     return _start(decoded_rows, commit, checkpoint, interval)
 
@@ -99,15 +137,16 @@ def publish_kafka(
 
 @dataclass(frozen=True)
 class HotTables:
-    """Folders the hot path writes: raw trades, one-minute states, latest prices."""
+    """Folders the hot path writes: raw trades, filters of their keys, one-minute states, latest prices."""
 
     raw: str
+    seen: str
     minute: str
     latest: str
 
     @classmethod
     def under(cls, root: str) -> HotTables:
-        return cls(f"{root}/trades", f"{root}/trades_1m", f"{root}/price_latest")
+        return cls(f"{root}/trades", f"{root}/trades_seen", f"{root}/trades_1m", f"{root}/price_latest")
 
 
 def hot_path(
@@ -131,56 +170,103 @@ def write_hot_batch(
     """All writes of one micro-batch, each into folders named by the batch id.
 
     A trade counts once: copies inside the batch, and of trades that earlier batches stored, are left
-    out. A copy keeps its trade time, so only stored rows of the batch's span of trade times are read. What
-    counts does not depend on how fast the stream runs. Minute states and prices are merged with those of
-    earlier batches: the last batch of a day has all its states, the last batch all prices, so what
-    readers meet does not grow with the number of batches. A replay reads earlier batches only.
+    out, whatever their age and however fast the stream runs; see ``stored_copies``. The keys of a batch are in
+    the filters before its rows are in the raw table, so no stored trade is ever unknown to them. Minute states
+    are those of the batch alone, and add up with what is stored. Full tiers of the days it touched are
+    merged, so what readers and later batches meet grows with the logarithm of the batches. The last batch
+    has all prices. A replay reads earlier batches only.
     """
     spark = batch.sparkSession
-    own = F.lit(batch_id).cast("bigint")
-    rows = dedup.latest(batch).withColumn("dt", F.to_date("trade_time"))
-    span = rows.agg(F.min("trade_time").alias("first"), F.max("trade_time").alias("last")).first()
-    if span["first"] is None:
-        return
-    if batch_id > 0 and storage.exists(spark, into.raw):
-        inside = F.col("trade_time").between(F.lit(span["first"]), F.lit(span["last"]))
-        days = F.col("dt").between(F.lit(span["first"].date()), F.lit(span["last"].date()))
-        stored = spark.read.parquet(into.raw).where(days & inside & (F.col("batch_id") < batch_id))
-        rows = dedup.unseen(rows, stored)
-    rows = rows.withColumn("batch_id", own).persist()
+    rows = dedup.latest(batch).withColumn("dt", F.to_date("trade_time")).persist()
+    fresh = rows
     try:
-        days = [str(r.dt) for r in rows.select("dt").distinct().collect()]
+        if batch_id > 0:
+            copies = stored_copies(rows, batch_id, into)
+            if copies is not None:
+                fresh = dedup.unseen(rows, copies).persist()
+        days = [str(r.dt) for r in fresh.select("dt").distinct().collect()]
         if not days:
             return
-        tables.overwrite_partitions(rows, into.raw, ["dt", "batch_id"], sort_by=["trade_time", "symbol"])
-        minute = ohlcv.partial(rows.drop("batch_id")).withColumn("dt", F.to_date("bucket_ts"))
-        merged = _merged(spark, minute, into.minute, storage.newest_versions(spark, into.minute, batch_id, days))
-        merged = ohlcv.merge_states(merged).withColumns({"dt": F.to_date("bucket_ts"), "batch_id": own})
-        tables.overwrite_partitions(merged, into.minute, ["dt", "batch_id"])
-        prices = latest.partial(rows.drop("batch_id"))
+        tiers.append(membership.filters(fresh), into.seen, batch_id, days, _SEEN_ORDER)
+        tiers.append(fresh, into.raw, batch_id, days, _RAW_ORDER)
+        minute = ohlcv.partial(fresh).withColumn("dt", F.to_date("bucket_ts"))
+        tiers.append(minute, into.minute, batch_id, days, _MINUTE_ORDER)
+        prices = latest.partial(fresh)
         before = [b for b in map(int, storage.values(spark, into.latest, "batch_id")) if b < batch_id]
         prices = _merged(spark, prices, into.latest, [f"batch_id={max(before)}"] if before else [])
-        tables.overwrite_partitions(
-            latest.merge_states(prices).withColumn("batch_id", own), into.latest, ["batch_id"]
-        )
+        prices = latest.merge_states(prices).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        tables.overwrite_partitions(prices, into.latest, ["batch_id"])
         if jdbc:
-            publish.to_jdbc(publish.jdbc_row(rows.drop("batch_id", "dt")), **jdbc)
+            publish.to_jdbc(publish.jdbc_row(fresh.drop("dt")), **jdbc)
     finally:
+        fresh.unpersist()
         rows.unpersist()
     for day in days:
-        storage.drop_versions(spark, f"{into.minute}/dt={day}")
+        merge_hot(spark, into, day, batch_id)
     storage.drop_versions(spark, into.latest)
 
 
+_SEEN_ORDER = ["hour", "word"]
+_RAW_ORDER = ["trade_time", "symbol"]
+_MINUTE_ORDER = ["symbol", "bucket_ts"]
+
+
+def stored_copies(rows: DataFrame, batch_id: int, into: HotTables) -> DataFrame | None:
+    """Keys of rows that earlier batches stored; None if the filters admit no row.
+
+    A copy keeps its trade time. The filters of the hours that the rows touch say which of them may be
+    stored; of the raw table only the days of those are opened, each between the first and the last of them.
+    """
+    spark = rows.sparkSession
+    touched = rows.select("dt", F.hour("trade_time").alias("hour")).distinct().collect()
+    words = tiers.read(spark, into.seen, sorted({str(r.dt) for r in touched}), batch_id)
+    if words is None:
+        return None
+    words = words.where(F.col("hour").isin(sorted({r.hour for r in touched})))
+    maybe = membership.admitted(rows, words)
+    spans = maybe.groupBy("dt").agg(F.min("trade_time").alias("first"), F.max("trade_time").alias("last")).collect()
+    if not spans:
+        return None
+    stored = tiers.read(spark, into.raw, [str(s.dt) for s in spans], batch_id)
+    if stored is None:
+        return None
+    if len(spans) > _SPANS:
+        inside = F.col("trade_time").between(F.lit(min(s["first"] for s in spans)), F.lit(max(s["last"] for s in spans)))
+    else:
+        inside = F.lit(False)
+        for s in spans:
+            within = F.col("trade_time").between(F.lit(s["first"]), F.lit(s["last"]))
+            inside = inside | ((F.col("dt") == F.lit(s["dt"])) & within)
+    # The small side of a batch goes to the stored rows; what comes back is copies only.
+    return stored.where(inside).select("dt", *dedup.TRADE_KEY).join(
+        maybe.select("dt", *dedup.TRADE_KEY), ["dt", *dedup.TRADE_KEY], "left_semi"
+    )
+
+
+def merge_hot(
+    spark: SparkSession, into: HotTables, day: str, before: int | None = None, whole: bool = False
+) -> None:
+    """Merge the full tiers of a day of all three tables, or all its folders."""
+    run = tiers.merge_all if whole else tiers.merge
+    run(spark, into.seen, day, before, membership.union, _SEEN_ORDER)
+    run(spark, into.raw, day, before, None, _RAW_ORDER)
+    run(spark, into.minute, day, before, ohlcv.merge_states, _MINUTE_ORDER)
+
+
 def _merged(spark: SparkSession, fresh: DataFrame, path: str, picked: list[str]) -> DataFrame:
     """New rows together with those of the folders picked."""
     stored = storage.read_versions(spark, path, picked)
     return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
 
 
+def raw_trades(spark: SparkSession, into: HotTables) -> DataFrame:
+    """The stored trades, each once."""
+    return tiers.read(spark, into.raw)
+
+
 def minute_states(spark: SparkSession, into: HotTables) -> DataFrame:
-    """The states of all days: each day's last batch."""
-    return storage.read_versions(spark, into.minute, storage.newest_versions(spark, into.minute))
+    """One state per symbol and minute, from the folders of all batches."""
+    return ohlcv.merge_states(tiers.read(spark, into.minute))
 
 
 def price_states(spark: SparkSession, into: HotTables) -> DataFrame:
@@ -247,29 +333,33 @@ def throttle_batch(batch: DataFrame, batch_id: int, limit: timedelta, path: str)
 def windowed_bars(
     trades: DataFrame, path: str, checkpoint: str, window: str = "1 minute", interval: str | None = HOT_INTERVAL
 ) -> StreamingQuery:
-    """Bars by time window of any width. Each micro-batch merges its windows with the stored ones of
-    the days it touches, so late trades of any age count and the last window is there too.
+    """Bars by time window of any width. Each micro-batch adds the states of its own windows, so late
+    trades of any age count and the last window is there too; full tiers are merged. Read them
+    with ``window_states``.
 
     Every trade must come once; ``hot_path`` removes copies.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        own = F.lit(batch_id).cast("bigint")
         placed = batch.withColumn("bucket_ts", F.window("trade_time", window)["start"])
-        fresh = ohlcv.partial_of(placed).withColumn("dt", F.to_date("bucket_ts"))
-        days = [str(r.dt) for r in fresh.select("dt").distinct().collect()]
-        if not days:
-            return
-        spark = batch.sparkSession
-        rows = _merged(spark, fresh, path, storage.newest_versions(spark, path, batch_id, days))
-        rows = ohlcv.merge_states(rows).withColumns({"dt": F.to_date("bucket_ts"), "batch_id": own})
-        tables.overwrite_partitions(rows, path, ["dt", "batch_id"])
+        fresh = ohlcv.partial_of(placed).withColumn("dt", F.to_date("bucket_ts")).persist()
+        try:
+            days = [str(r.dt) for r in fresh.select("dt").distinct().collect()]
+            if days:
+                tiers.append(fresh, path, batch_id, days, _MINUTE_ORDER)
+        finally:
+            fresh.unpersist()
         for day in days:
-            storage.drop_versions(spark, f"{path}/dt={day}")
+            tiers.merge(batch.sparkSession, path, day, batch_id, ohlcv.merge_states, _MINUTE_ORDER)
 
     return _start(trades, write, checkpoint, interval)
 
 
+def window_states(spark: SparkSession, path: str) -> DataFrame:
+    """One state per symbol and window."""
+    return ohlcv.merge_states(tiers.read(spark, path))
+
+
 def _start(
     rows: DataFrame,
     each: Callable[[DataFrame, int], None],
