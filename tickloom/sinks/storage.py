@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
+_THREADS = 8
+
 
 def _path(spark: SparkSession, path: str):
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
+def together(works: Iterable[Callable[[], object]]) -> None:
+    """Run small pieces of work that wait for the storage or for jobs side by side; the first error is raised."""
+    with ThreadPoolExecutor(_THREADS) as pool:
+        for done in [pool.submit(work) for work in works]:
+            done.result()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     files, found = _path(spark, path)
     return files.exists(found)

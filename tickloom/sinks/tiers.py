@@ -16,6 +16,7 @@ before a switch leaves a folder that no manifest lists; it is written over, or s
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,11 +89,14 @@ def append(
     placed = rows.withColumns({"tier": F.lit(0), "batch_id": F.lit(batch_id).cast("bigint")})
     tables.overwrite_partitions(placed, path, ["dt", "tier", "batch_id"], sort_by)
     own = f"tier=0/batch_id={batch_id}"
-    for day in touched:
+
+    def list_in(day: str) -> None:
         names = folders(spark, path, day)
         if own not in names:
             _switch(spark, path, day, [*names, own])
 
+    storage.together([partial(list_in, day) for day in touched])
+
 
 def merge(
     spark: SparkSession,

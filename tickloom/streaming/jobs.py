@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -188,21 +189,20 @@ def write_hot_batch(
         if not days:
             return
         tiers.append(membership.filters(fresh), into.seen, batch_id, days, _SEEN_ORDER)
-        tiers.append(fresh, into.raw, batch_id, days, _RAW_ORDER)
         minute = ohlcv.partial(fresh).withColumn("dt", F.to_date("bucket_ts"))
-        tiers.append(minute, into.minute, batch_id, days, _MINUTE_ORDER)
-        prices = latest.partial(fresh)
-        before = [b for b in map(int, storage.values(spark, into.latest, "batch_id")) if b < batch_id]
-        prices = _merged(spark, prices, into.latest, [f"batch_id={max(before)}"] if before else [])
-        prices = latest.merge_states(prices).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        tables.overwrite_partitions(prices, into.latest, ["batch_id"])
+        storage.together(
+            [
+                lambda: tiers.append(fresh, into.raw, batch_id, days, _RAW_ORDER),
+                lambda: tiers.append(minute, into.minute, batch_id, days, _MINUTE_ORDER),
+                lambda: _write_prices(fresh, batch_id, into),
+            ]
+        )
         if jdbc:
             publish.to_jdbc(publish.jdbc_row(fresh.drop("dt")), **jdbc)
     finally:
         fresh.unpersist()
         rows.unpersist()
-    for day in days:
-        merge_hot(spark, into, day, batch_id)
+    storage.together([partial(merge_hot, spark, into, day, batch_id) for day in days])
     storage.drop_versions(spark, into.latest)
 
 
@@ -211,6 +211,14 @@ _RAW_ORDER = ["trade_time", "symbol"]
 _MINUTE_ORDER = ["symbol", "bucket_ts"]
 
 
+def _write_prices(fresh: DataFrame, batch_id: int, into: HotTables) -> None:
+    spark, prices = fresh.sparkSession, latest.partial(fresh)
+    before = [b for b in map(int, storage.values(spark, into.latest, "batch_id")) if b < batch_id]
+    prices = _merged(spark, prices, into.latest, [f"batch_id={max(before)}"] if before else [])
+    prices = latest.merge_states(prices).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    tables.overwrite_partitions(prices, into.latest, ["batch_id"])
+
+
 def stored_copies(rows: DataFrame, batch_id: int, into: HotTables) -> DataFrame | None:
     """Keys of rows that earlier batches stored; None if the filters admit no row.
 
