@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from tickloom.operators import throttle as throttling
 from tickloom.operators.throttle import throttle
 
 START = datetime(2024, 1, 1)
@@ -51,12 +52,41 @@ def test_equals_sequential(spark, rows, interval):
 
 def test_deep_tree(spark, rows):
     frame = spark.createDataFrame(rows, SCHEMA)
-    interval = timedelta(seconds=1)
-    got = throttle(frame, interval, max_fan_in=4).select("symbol", "trade_id").collect()
-    assert sorted(tuple(r) for r in got) == sequential(rows, interval)
+    for interval in (timedelta(milliseconds=20), timedelta(seconds=1), timedelta(hours=2)):
+        got = throttle(frame, interval, limit=200).select("symbol", "trade_id").collect()
+        assert sorted(tuple(r) for r in got) == sequential(rows, interval)
 
 
 def test_off_and_empty(spark, rows):
     frame = spark.createDataFrame(rows[:100], SCHEMA)
     assert throttle(frame, timedelta(0)).count() == 100
     assert throttle(frame.limit(0), timedelta(seconds=5)).count() == 0
+
+
+@pytest.mark.parametrize(("interval", "limit"), [(1, 7), (13, 50), (400, 7), (20_000, 7), (20_000, 1)])
+def test_microseconds_in_small_slots(spark, interval, limit):
+    """Dense and sparse stretches, gaps longer than a cell, and times before 1970."""
+    rnd, rows = random.Random(interval + limit), []
+    for symbol, spread in (("dense", 2_000), ("sparse", 10**7), ("old", 3_000)):
+        start = datetime(1960, 1, 1) if symbol == "old" else START
+        at = [rnd.randrange(spread) + rnd.choice([0, 0, 50 * spread]) for _ in range(250)]
+        rows += [(symbol, i, start + timedelta(microseconds=us)) for i, us in enumerate(at)]
+    step = timedelta(microseconds=interval)
+    got = throttle(spark.createDataFrame(rows, SCHEMA), step, limit=limit).select("symbol", "trade_id").collect()
+    assert sorted(tuple(r) for r in got) == sequential(rows, step)
+
+
+def test_no_array_is_longer_than_the_limit(spark, rows, monkeypatch):
+    seen = []
+    saved = throttling._saved
+
+    def watched(frame):
+        made = saved(frame)
+        if "times" in made.columns:
+            seen.append(made.selectExpr("max(size(times)) AS n").first().n)
+        return made
+
+    monkeypatch.setattr(throttling, "_saved", watched)
+    for interval in (timedelta(milliseconds=20), timedelta(days=2)):
+        throttle(spark.createDataFrame(rows, SCHEMA), interval, limit=300).count()
+    assert seen and max(seen) <= 300

@@ -2,17 +2,21 @@
 since the last kept trade of its symbol, and dropped otherwise.
 
 The choice depends on all earlier choices, yet one symbol must not end up in
-one task. Time is therefore cut into chunks. Whatever happened before a chunk
-matters only through one number, the earliest instant at which the next trade
-may be kept (``gate``). A chunk is a step function from the gate it is entered
-with to the gate it is left with, and step functions compose:
-
-1. every chunk computes its function from its own instants;
-2. neighbouring functions are composed over a tree of fixed fan-in;
-3. the gates are handed down the same tree, and each chunk picks its trades.
-
-A chunk or a composed function never holds more entries than there are
-instants in a chunk or an interval, however many rows or years there are.
+one task, whatever the grain of its times and the length of the limit.
+
+1. Instants lie in slots, short enough that none has more than ``limit`` of them. Cells of time are one slot,
+   or as long as the interval if that is longer.
+2. Whatever happened before a cell matters through one number, the gate before which nothing may be kept, and
+   that lies less than an interval beyond the cell's start. So a cell can be entered only at an instant in its
+   first interval, at the first one after that, or (the first cell of all) at its first one. For each
+   such entry, a row says where the next cell is entered that anything is kept in: ``x`` leads to ``y``.
+3. Two neighbouring cells make one of twice the length: entries of the left one lead on through the right
+   one, which is a join of rows. Each step halves the entries, until a symbol has at most ``limit``.
+4. The way from a symbol's first instant is followed through them, and the steps are taken back: each entry
+   of a pair of cells is one of its left cell, and leads to one of its right cell.
+
+Functions are rows, and the arrays (the instants of a slot, the entries of a symbol at the end) never hold
+more than ``limit`` elements.
 """
 
 from __future__ import annotations
@@ -31,61 +35,132 @@ from tickloom.session import scratch
 # The pandas functions below travel to the executors by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_CHUNK = 15 * 60_000_000  # microseconds; at most 900,000 instants of one millisecond
-_FUNCTION = "upto array<bigint>, gate array<bigint>"
-_OPEN = np.iinfo(np.int64).min
+LIMIT = 1_000_000
+_SLOT = 15 * 60_000_000  # microseconds; shorter if a slot would hold too many instants
+#: Added to all instants, so that none is negative and in the end one cell holds a whole symbol.
+_SHIFT = 1 << 60
+#: Stands for an instant after the last one.
+_END = (1 << 63) - 1
+#: Slots per group when each slot looks for the next one that is not empty.
+_GROUP = 4096
+
+
+def _path(follow: np.ndarray, start: int) -> np.ndarray:
+    """Positions met from ``start`` when ``follow`` gives the next one of each, its length meaning the end;
+    each round doubles the way and the jump."""
+    end = len(follow)
+    jump, met = np.append(follow, end), np.array([start])
+    while met[-1] < end:
+        met = np.concatenate([met, jump[met]])
+        jump = jump[jump]
+    return met[met < end]
+
+
+def _gates(times: np.ndarray, start: int, interval: int) -> tuple[np.ndarray, np.ndarray]:
+    """The instants a slot can be entered at, and the gate that each is left with."""
+    follow = np.searchsorted(times, times + interval)
+    last = np.where(follow < len(times), follow, np.arange(len(times)))
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    entries = max(1, np.searchsorted(times, start + interval) + 1)
+    return times[:entries], times[last][:entries] + interval
+
 
+def _saved(rows: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back: computed once, short lineage."""
+    path = scratch(rows.sparkSession, "throttle")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-def _block(column: str, width: int) -> Column:
-    return F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")
 
+class _Grid:
+    """Cells of ``width`` microseconds, each cut into slots of at most ``slot``."""
 
-def _jump(times: np.ndarray, interval: int) -> np.ndarray:
-    """For each instant the index of the next one that may be kept after it."""
-    return np.searchsorted(times, times + interval)
+    def __init__(self, slot: int, interval: int):
+        self.slot, self.width, self.interval = slot, max(slot, interval), interval
+        self.slots = -(-self.width // slot)
 
+    def place(self, column: str) -> Column:
+        """The number of the slot, which ascends with time."""
+        return F.expr(f"{column} div {self.width}L * {self.slots}L + {column} % {self.width}L div {self.slot}L")
 
-def _steps(upto: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Join neighbouring entries that lead to the same gate."""
-    last = np.append(gate[1:] != gate[:-1], True) if len(gate) else np.zeros(0, bool)
-    return upto[last], gate[last]
+    def cell(self, column: str, level: int) -> str:
+        return f"{column} div {min(self.width << level, _END)}L"
 
 
-def _chunk_function(times: np.ndarray, start: int, interval: int):
-    """Entering with a gate in (upto[i-1], upto[i]] means leaving with gate[i];
-    a gate beyond the last entry passes through unchanged."""
-    follow = _jump(times, interval)
-    end = np.where(follow < len(times), follow, np.arange(len(times)))
+def _fitting(instants: DataFrame, interval: int, limit: int) -> _Grid:
+    """A grid in which no slot has more than ``limit`` instants; a slot of one microsecond has one."""
+    grid = _Grid(_SLOT, interval)
     while True:
-        further = end[end]
-        if np.array_equal(further, end):
-            break
-        end = further
-    reachable = np.searchsorted(times, start + interval) + 1
-    return _steps(times[:reachable], times[end][:reachable] + interval)
+        counted = instants.groupBy("_key", grid.place("_us").alias("slot")).count()
+        most = counted.agg(F.max("count").alias("most")).first()["most"] or 0
+        if most <= limit:
+            return grid
+        grid = _Grid(max(1, min(grid.slot // 2, grid.slot * limit // most)), interval)
 
 
-def _after(upto: np.ndarray, gate: np.ndarray, entered: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(upto, entered)
-    inside = at < len(upto)
-    out = entered.copy()
-    out[inside] = gate[at[inside]]
-    return out
+def _next_first(keys: DataFrame) -> DataFrame:
+    """For slots (_key, slot, first), the first instant of the next slot that has one, as ``later``.
 
+    Slots look inside their group, then groups among the groups of the symbol.
+    """
+    grouped = keys.withColumn("group", F.expr(f"slot div {_GROUP}"))
+    ahead = Window.partitionBy("_key", "group").orderBy("slot").rowsBetween(1, Window.unboundedFollowing)
+    groups = grouped.groupBy("_key", "group").agg(F.min("first").alias("first"))
+    beyond = Window.partitionBy("_key").orderBy("group").rowsBetween(1, Window.unboundedFollowing)
+    groups = groups.select("_key", "group", F.min("first").over(beyond).alias("beyond"))
+    inside = grouped.withColumn("inside", F.min("first").over(ahead))
+    found = inside.join(groups, ["_key", "group"])
+    return found.select("_key", "slot", F.coalesce("inside", "beyond").alias("later"))
+
+
+def _resolved(gates: DataFrame, cells: DataFrame, grid: _Grid) -> DataFrame:
+    """(_key, x, y): the first instant at or after each gate, or _END."""
+    asked = gates.withColumn("slot", grid.place("gate"))
+    asked = asked.groupBy("_key", "slot").agg(F.collect_list(F.struct("x", "gate")).alias("asked"))
+    firsts = cells.select("_key", "slot", F.element_at("times", 1).alias("first"))
+    empty = asked.select("_key", "slot", F.lit(None).cast("bigint").alias("first"))
+    keys = firsts.unionByName(empty).groupBy("_key", "slot").agg(F.min("first").alias("first"))
+    both = asked.join(cells.select("_key", "slot", "times"), ["_key", "slot"], "left")
+    both = both.join(_next_first(keys), ["_key", "slot"])
 
-def _compose(first, second, reach: int):
-    beyond = second[0] > (first[0][-1] if len(first[0]) else _OPEN)
-    upto = np.concatenate([first[0], second[0][beyond]])
-    gate = np.concatenate([_after(*second, first[1]), second[1][beyond]])
-    reachable = np.searchsorted(upto, reach) + 1
-    return _steps(upto[:reachable], gate[:reachable])
+    @F.pandas_udf("array<bigint>")
+    def first_at(times: pd.Series, gate: pd.Series, later: pd.Series) -> pd.Series:
+        found = []
+        for t, g, after in zip(times, gate, later):
+            t = np.zeros(0, np.int64) if t is None else np.asarray(t, np.int64)
+            found.append(np.append(t, after)[np.searchsorted(t, np.asarray(g, np.int64))])
+        return pd.Series(found)
+
+    y = first_at("times", "asked.gate", F.coalesce("later", F.lit(_END)))
+    found = both.select("_key", F.explode(F.arrays_zip("asked.x", y.alias("y"))).alias("z"))
+    return found.select("_key", F.col("z.x").alias("x"), F.col("z.y").alias("y"))
+
+
+def _doubled(rows: DataFrame, grid: _Grid, level: int) -> DataFrame:
+    """Entries of cells of ``level`` to those of cells twice as long."""
+    cell, width = grid.cell("x", level + 1), min(grid.width << (level + 1), _END)
+    placed = rows.withColumn("cell", F.expr(cell))
+    late = F.expr(f"CASE WHEN x - cell * {width}L >= {grid.width}L THEN x END")
+    firsts = placed.groupBy("_key", "cell").agg(F.min("x").alias("first"), F.min(late).alias("after"))
+    kept = placed.join(firsts, ["_key", "cell"]).where(
+        f"x - cell * {width}L < {grid.width}L OR x = first OR x = after"
+    )
+    onward = rows.select("_key", F.col("x").alias("y"), F.col("y").alias("then"))
+    found = kept.join(onward, ["_key", "y"], "left")
+    through = F.expr(f"{grid.cell('y', level + 1)} = cell")
+    return found.select("_key", "x", F.when(through, F.col("then")).otherwise(F.col("y")).alias("y"))
 
 
-def _saved(rows: DataFrame) -> DataFrame:
-    """Written to the shared folder and read back: computed once, short lineage."""
-    path = scratch(rows.sparkSession, "throttle")
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def _ways(rows: DataFrame, grid: _Grid, level: int) -> DataFrame:
+    """How many entries each symbol has, its first one, and whether one cell holds them all."""
+    cell = F.expr(grid.cell("x", level))
+    return rows.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("entries"), F.min("x").alias("first"), (F.min(cell) == F.max(cell)).alias("alone")
+    )
 
 
 def throttle(
@@ -94,7 +169,7 @@ def throttle(
     key: str = "symbol",
     time: str = "trade_time",
     tie: str = "trade_id",
-    max_fan_in: int = 1024,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """The kept trades, whole rows. The first trade of a symbol is always kept;
     of several at one instant the smallest ``tie`` counts. A zero interval is off.
@@ -103,105 +178,64 @@ def throttle(
     step = interval // timedelta(microseconds=1)
     if step <= 0:
         return trades
-    width = max(step, _CHUNK)
 
     keyed = trades.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumns(
-        {"_key": F.col(key), "_us": F.unix_micros(F.col(time).cast("timestamp"))}
+        {"_key": F.col(key), "_us": F.unix_micros(F.col(time).cast("timestamp")) + F.lit(_SHIFT)}
     )
-    instants = keyed.select("_key", "_us").distinct()
-
-    @F.pandas_udf(f"struct<{_FUNCTION}>".replace(" array", ":array"))
-    def chunk_function(times: pd.Series, node: pd.Series) -> pd.DataFrame:
-        made = [
-            _chunk_function(np.asarray(t, np.int64), int(n) * width, step)
-            for t, n in zip(times, node)
-        ]
-        return pd.DataFrame({"upto": [m[0] for m in made], "gate": [m[1] for m in made]})
-
-    chunks = _saved(
-        instants.groupBy("_key", _block("_us", width).alias("node"))
-        .agg(F.sort_array(F.collect_list("_us")).alias("times"))
-        .withColumn("f", chunk_function("times", "node"))
-        .select("_key", "node", "times", "f.upto", "f.gate")
+    instants = _saved(keyed.select("_key", "_us").distinct())
+    grid = _fitting(instants, step, limit)
+    cells = _saved(
+        instants.groupBy("_key", grid.place("_us").alias("slot")).agg(F.sort_array(F.collect_list("_us")).alias("times"))
     )
-
-    # No composed function is longer than the longest chunk function by more
-    # than one entry, as a chunk is never shorter than the interval.
-    seen = chunks.agg(
-        F.min("node").alias("lo"), F.max("node").alias("hi"), F.max(F.size("upto")).alias("entries")
-    ).first()
-    if seen.lo is None:
-        return trades.limit(0)
-    fan_in = int(max(4, min(max_fan_in, 8_000_000 // (seen.entries + 1))))
-    span = seen.hi - seen.lo + 1
-    levels = 0
-    while span > fan_in:
-        span = -(-span // fan_in) + 1
-        levels += 1
-
-    def compose_children(size: int):
-        def apply(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("node")
-            parent = int(pdf["parent"].iloc[0])
-            reach = int(pdf["node"].iloc[0]) * size + step
-            f = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            for upto, gate in zip(pdf["upto"], pdf["gate"]):
-                f = _compose(f, (np.asarray(upto, np.int64), np.asarray(gate, np.int64)), reach)
-            return pd.DataFrame(
-                {"_key": [pdf["_key"].iloc[0]], "node": [parent], "upto": [f[0]], "gate": [f[1]]}
-            )
-
-        return apply
-
-    def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node")
-        given = pdf["entry"].iloc[0]
-        gate = np.array([_OPEN if pd.isna(given) else int(given)], np.int64)
-        entries = []
-        for upto, out in zip(pdf["upto"], pdf["gate"]):
-            entries.append(gate[0])
-            gate = _after(np.asarray(upto, np.int64), np.asarray(out, np.int64), gate)
-        return pd.DataFrame({"_key": pdf["_key"], "node": pdf["node"], "entry": entries})
+    if grid.slots == 1:
+
+        @F.pandas_udf("struct<x:array<bigint>,gate:array<bigint>>")
+        def entries(times: pd.Series, slot: pd.Series) -> pd.DataFrame:
+            made = [_gates(np.asarray(t, np.int64), int(n) * grid.width, step) for t, n in zip(times, slot)]
+            return pd.DataFrame({"x": [m[0] for m in made], "gate": [m[1] for m in made]})
+
+        pairs = cells.select("_key", entries("times", "slot").alias("e"))
+        pairs = pairs.select("_key", F.explode(F.arrays_zip("e.x", "e.gate")).alias("p"))
+        gates = pairs.select("_key", "p.x", "p.gate")
+    else:
+        gates = instants.select("_key", F.col("_us").alias("x"), (F.col("_us") + step).alias("gate"))
+    levels = [_saved(_resolved(gates, cells, grid))]
+    while not _ways(levels[-1], grid, len(levels) - 1).where((F.col("entries") > limit) & ~F.col("alone")).isEmpty():
+        levels.append(_saved(_doubled(levels[-1], grid, len(levels) - 1)))
+    # A symbol that one cell holds is entered there at its first instant alone.
+    ways = _ways(levels[-1], grid, len(levels) - 1)
+    top = levels[-1].join(ways, "_key").where((F.col("entries") <= limit) | (F.col("x") == F.col("first")))
 
     key_type = keyed.schema["_key"].dataType.simpleString()
-    up = f"_key {key_type}, node bigint, {_FUNCTION}"
-    down = f"_key {key_type}, node bigint, entry bigint"
-    parent = _block("node", fan_in).alias("parent")
-
-    tree = [chunks.select("_key", "node", "upto", "gate")]
-    for level in range(levels):
-        grouped = tree[-1].select("*", parent).groupBy("_key", "parent")
-        composed = grouped.applyInPandas(compose_children(width * fan_in**level), up)
-        tree.append(_saved(composed) if level < levels - 1 else composed)
-
-    top = tree[-1].withColumn("entry", F.lit(None).cast("bigint"))
-    entries = top.groupBy("_key").applyInPandas(hand_down, down)
-    for nodes in reversed(tree[:-1]):
-        given = entries.withColumnRenamed("node", "parent")
-        entries = (
-            nodes.select("*", parent)
-            .join(given, ["_key", "parent"])
-            .groupBy("_key", "parent")
-            .applyInPandas(hand_down, down)
-        )
 
-    @F.pandas_udf("array<bigint>")
-    def keep(times: pd.Series, entry: pd.Series) -> pd.Series:
-        kept = []
-        for t, gate in zip(times, entry):
-            t = np.asarray(t, np.int64)
-            follow = _jump(t, step)
-            at, picked = int(np.searchsorted(t, gate)), []
-            while at < len(t):
-                picked.append(t[at])
-                at = follow[at]
-            kept.append(np.array(picked, np.int64))
-        return pd.Series(kept)
-
-    kept = _saved(
-        chunks.join(entries, ["_key", "node"])
-        .select("_key", F.explode(keep("times", "entry")).alias("_us"))
-    )
+    def followed(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("x")
+        x, y = pdf["x"].to_numpy(), pdf["y"].to_numpy()
+        met = _path(np.searchsorted(x, y), 0)
+        return pd.DataFrame({"_key": pdf["_key"].iloc[met].to_numpy(), "x": x[met]})
+
+    met = top.select("_key", "x", "y").groupBy("_key").applyInPandas(followed, f"_key {key_type}, x bigint")
+    for level in range(len(levels) - 2, -1, -1):
+        found = _saved(met).join(levels[level], ["_key", "x"])
+        inside = F.expr(f"{grid.cell('x', level + 1)} = {grid.cell('y', level + 1)}")
+        right = found.where(inside).select("_key", F.col("y").alias("x"))
+        met = found.select("_key", "x").unionByName(right)
+
+    if grid.slots == 1:
+
+        @F.pandas_udf("array<bigint>")
+        def keep(times: pd.Series, x: pd.Series) -> pd.Series:
+            kept = []
+            for t, entry in zip(times, x):
+                t = np.asarray(t, np.int64)
+                kept.append(t[_path(np.searchsorted(t, t + step), int(np.searchsorted(t, entry)))])
+            return pd.Series(kept)
+
+        entered = met.withColumn("slot", grid.place("x"))
+        whole = cells.join(entered, ["_key", "slot"])
+        kept = _saved(whole.select("_key", F.explode(keep("times", "x")).alias("_us")))
+    else:
+        kept = _saved(met.withColumnRenamed("x", "_us"))
 
     def one_per_instant(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy("_key", "_us").orderBy(tie)

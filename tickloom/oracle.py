@@ -115,19 +115,22 @@ FROM (SELECT *, date_trunc('hour', trade_time) AS bucket,
       FROM trades) WHERE rn = 1"""
 
 
-def _throttle(interval: str) -> str:
-    return f"""WITH RECURSIVE {TRADES},
+def _throttle(interval: str, source: str = "trades", before: str = "") -> str:
+    return f"""WITH RECURSIVE {TRADES}, {before}
 kept(symbol, trade_time) AS (
-  SELECT symbol, MIN(trade_time) FROM trades GROUP BY symbol
+  SELECT symbol, MIN(trade_time) FROM {source} GROUP BY symbol
   UNION ALL
-  SELECT k.symbol, (SELECT MIN(t.trade_time) FROM trades t
+  SELECT k.symbol, (SELECT MIN(t.trade_time) FROM {source} t
                     WHERE t.symbol = k.symbol AND t.trade_time >= k.trade_time + {interval})
   FROM kept k WHERE k.trade_time IS NOT NULL)
 SELECT symbol, trade_id, trade_time, price
 FROM (SELECT t.*, ROW_NUMBER() OVER (PARTITION BY symbol, trade_time ORDER BY trade_id) AS rn
-      FROM trades t SEMI JOIN kept k USING (symbol, trade_time)) WHERE rn = 1"""
+      FROM {source} t SEMI JOIN kept k USING (symbol, trade_time)) WHERE rn = 1"""
 
 
+_SPREAD = """
+spread AS (SELECT * REPLACE (date_trunc('hour', trade_time) + to_microseconds(trade_id * 7919 % 250) AS trade_time) FROM trades),"""
+
 _BROKEN = """
 broken AS (
   SELECT unnest(['not json', '[]', '', '{"e":"trade"}',
@@ -222,6 +225,8 @@ SELECT symbol, trade_id, trade_time FROM trades
 WHERE date_trunc('second', trade_time) + INTERVAL 7 DAY > {_AS_OF}""",
     "throttle_5s": _throttle("INTERVAL 5 SECOND"),
     "throttle_5m": _throttle("INTERVAL 5 MINUTE"),
+    "throttle_us": _throttle("INTERVAL 17 MICROSECOND", "spread", _SPREAD),
+    "throttle_1d": _throttle("INTERVAL 1 DAY"),
     "trades_of_symbols": f"""WITH {TRADES}
 SELECT UPPER(symbol) AS symbol, trade_id, price FROM trades WHERE symbol IN ('click', 'purchase')""",
     "decoded_log": f"WITH {BRONZE} {_WIRE}",

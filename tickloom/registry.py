@@ -255,6 +255,20 @@ def throttle_5m(spark, sf_dir):
     return throttle(rows, timedelta(minutes=5))
 
 
+@query
+def throttle_us(spark, sf_dir):
+    """A limit of some microseconds over trades whose times were spread within their millisecond."""
+    rows = samples.trades(spark, sf_dir).select("symbol", "trade_id", "price", "trade_time")
+    spread = F.make_dt_interval(secs=(F.pmod(F.col("trade_id") * 7919, F.lit(250))).cast("decimal(18,6)") / 1_000_000)
+    return throttle(rows.withColumn("trade_time", F.date_trunc("hour", "trade_time") + spread), timedelta(microseconds=17))
+
+
+@query
+def throttle_1d(spark, sf_dir):
+    rows = samples.trades(spark, sf_dir).select("symbol", "trade_id", "trade_time", "price")
+    return throttle(rows, timedelta(days=1))
+
+
 # --- Messages
 
 
