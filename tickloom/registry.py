@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import numbers, text
-from tickloom.operators import audit, dedup, latest, normalize, ohlcv, quality, retention, snapshots
+from tickloom.operators import (
+    audit,
+    compare,
+    dedup,
+    intervals,
+    latest,
+    normalize,
+    ohlcv,
+    quality,
+    retention,
+    snapshots,
+)
 from tickloom.operators.throttle import throttle
 from tickloom.plans import layers, maintenance, serving
 from tickloom.schema import BRONZE, SILVER_COLUMNS, TRADE
@@ -76,6 +87,18 @@ def layer_reconcile(spark, sf_dir):
     return audit.reconcile(samples.bronze(spark, sf_dir))
 
 
+@query
+def layer_diff(spark, sf_dir):
+    """Silver as it should be against one in which a price was changed, a trade lost and one added."""
+    right = layers.silver(samples.bronze(spark, sf_dir))
+    price = F.when(F.col("trade_id") == 123, F.col("price") + 1).otherwise(F.col("price"))
+    lost = right.withColumn("price", price).where("trade_id <> 456")
+    wrong = lost.unionByName(right.where("trade_id = 789").withColumn("trade_id", F.lit(-789).cast("bigint")))
+    day = F.to_date("trade_time")
+    sides = [rows.withColumn("dt", day) for rows in (right, wrong)]
+    return compare.differences(*sides, ["symbol", "dt"], ["trade_id"], [c for c in right.columns if c not in ("symbol", "trade_id")])
+
+
 @query
 def offset_coverage(spark, sf_dir):
     return audit.offset_coverage(samples.bronze(spark, sf_dir))
@@ -482,6 +505,15 @@ def _hot_tables(spark):
     return into, start
 
 
+@query
+def bucketed_silver(spark, sf_dir):
+    """Keep-latest over Bronze in 16 buckets by symbol."""
+    root, name = scratch(spark, "tables"), f"{_database(spark)}bucketed.trades"
+    order = ["symbol", "trade_id"]
+    tables.write_bucketed(samples.bronze(spark, sf_dir), name, root, "symbol", sort_by=order)
+    return layers.silver(spark.table(name))
+
+
 @query
 def published_stream(spark, sf_dir):
     """Messages written by the streaming publisher, decoded again."""
@@ -536,6 +568,10 @@ def compacted_bronze(spark, sf_dir):
 @query
 def tiered_bronze(spark, sf_dir):
     """Bronze by day alone, its folders merged while the log is read; two folders make a full tier here."""
+    return tiers.read(spark, _tiered(spark, sf_dir)).select(*BRONZE.fieldNames())
+
+
+def _tiered(spark, sf_dir):
     path = scratch(spark, "tiers")
 
     def start(records):
@@ -543,7 +579,13 @@ def tiered_bronze(spark, sf_dir):
         return [jobs.land_bronze_tiered(rows, path, *beside, interval=None, fan=2)]
 
     _run_log(spark, sf_dir, start)
-    return tiers.read(spark, path).select(*BRONZE.fieldNames())
+    return path
+
+
+@query
+def offset_intervals(spark, sf_dir):
+    """The gaps of the log, from the ranges kept beside Bronze; no record is read."""
+    return intervals.gaps(jobs.landed_offsets(spark, _tiered(spark, sf_dir)))
 
 
 @query
@@ -625,6 +667,19 @@ def stream_ohlcv_1m(spark, sf_dir):
     return ohlcv.bars(jobs.minute_states(spark, _hot(spark, sf_dir)))
 
 
+@query
+def stream_price_updates(spark, sf_dir):
+    """Running prices out of Spark's state, through a stop and a restart after every delivery."""
+    path = scratch(spark, "prices")
+
+    def start(records):
+        trades = normalize.to_hot(normalize.valid(jobs.decoded(records)))
+        return [jobs.price_updates(trades, path, f"{path}-checkpoint", interval=None)]
+
+    _run_log(spark, sf_dir, start)
+    return tables.upserted(spark, path)
+
+
 @query
 def stream_latest_price(spark, sf_dir):
     return serving.latest_price(jobs.price_states(spark, _hot(spark, sf_dir)))
@@ -640,6 +695,17 @@ def expired_hot(spark, sf_dir):
     return left.groupBy("dt").agg(F.count(F.lit(1)).alias("trades"))
 
 
+@query
+def expired_rows(spark, sf_dir):
+    """Raw trades that are left after expiry to the row; the minute states, too, are read from what is left."""
+    into, now = _hot(spark, sf_dir), as_of(spark, sf_dir)
+    jobs.expire_hot(spark, into, now)
+    left = jobs.raw_trades(spark, into).select("symbol", "trade_id", "trade_time")
+    minutes = jobs.minute_states(spark, into).agg(F.min("bucket_ts").alias("first"), F.sum("trade_count").alias("n")).first()
+    first = F.lit(minutes["first"]).cast("timestamp")
+    return left.withColumns({"in_minutes": F.lit(minutes["n"]).cast("bigint"), "first_minute": first})
+
+
 def _run_trades(spark, sf_dir, start):
     """The trades in PARTS blocks of rising ids."""
     path = scratch(spark, "trades")

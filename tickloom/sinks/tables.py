@@ -115,6 +115,62 @@ def overwrite_partitions(
     )
 
 
+def write_bucketed(
+    rows: DataFrame, name: str, root: str, by: str, buckets: int = 16, sort_by: Sequence[str] = ()
+) -> None:
+    """Replace a catalog table whose files are dealt by the hash of a column, each file sorted. Aggregations, windows
+    and joins on that column, or on it and others, then need no exchange. All rows of a value lie in one bucket, so
+    the column must have many values of like size; ``bucket_sizes`` measures that."""
+    spark = rows.sparkSession
+    ensure_database(spark, name, root)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # One task per bucket writes one file per bucket.
+    writer = rows.repartition(buckets, by).write.format("parquet").mode("errorifexists")
+    writer = writer.bucketBy(buckets, by).sortBy(*(sort_by or [by])).option("compression", CODEC)
+    writer.option("path", _version(root, name)).saveAsTable(name)
+
+
+def bucket_sizes(spark: SparkSession, name: str, by: str) -> DataFrame:
+    """Rows and values per bucket file, to see whether some values hold too much of a table."""
+    rows = spark.table(name).groupBy(F.col("_metadata.file_name").alias("file"), by).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("file").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"), F.max("n").alias("largest"))
+
+
+def upsert(rows: DataFrame, path: str, key: str, batch_id: int, buckets: int = 64) -> None:
+    """Put rows in place of stored ones with the same key. Keys lie in buckets; only buckets that receive rows are
+    read and written, each as a new version below its batch id. A replay starts from earlier versions."""
+    spark, own = rows.sparkSession, F.lit(batch_id).cast("bigint")
+    placed = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+    try:
+        touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]
+        stored = storage.read_versions(spark, path, _newest(spark, path, touched, batch_id))
+        if stored is not None:
+            placed = stored.select(*placed.columns).join(placed.select(key), key, "left_anti").unionByName(placed)
+        if touched:
+            overwrite_partitions(placed.withColumn("batch_id", own), path, ["bucket", "batch_id"])
+    finally:
+        placed.unpersist()
+    for bucket in touched:
+        storage.drop_versions(spark, f"{path}/bucket={bucket}")
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows as they are now: the newest version of every bucket."""
+    buckets = [int(b) for b in storage.values(spark, path, "bucket")]
+    found = storage.read_versions(spark, path, _newest(spark, path, buckets))
+    return None if found is None else found.drop("bucket", "batch_id")
+
+
+def _newest(spark: SparkSession, path: str, buckets: Sequence[int], before: int | None = None) -> list[str]:
+    picked = []
+    for bucket in buckets:
+        batches = [int(b) for b in storage.values(spark, f"{path}/bucket={bucket}", "batch_id")]
+        batches = [b for b in batches if before is None or b < before]
+        if batches:
+            picked.append(f"bucket={bucket}/batch_id={max(batches)}")
+    return picked
+
+
 def _laid_out(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
     """Rebalanced by the partition columns: few files per folder, and adaptive
     execution splits a folder that holds much of the data over several tasks."""

@@ -132,6 +132,15 @@ def merge_all(
         _merged(spark, path, day, names, max(map(_tier, names)) + 1, combine, sort_by)
 
 
+def rewrite(
+    spark: SparkSession, path: str, day: str, change: Callable[[DataFrame], DataFrame], sort_by: Sequence[str] = ()
+) -> None:
+    """What ``change`` makes of a day's rows, as one folder; a day without folders is left alone."""
+    names = folders(spark, path, day)
+    if names:
+        _merged(spark, path, day, names, max(map(_tier, names)) + 1, change, sort_by)
+
+
 def _merged(
     spark: SparkSession,
     path: str,

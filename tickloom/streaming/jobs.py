@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tickloom.operators import dedup, latest, membership, normalize, ohlcv
+from tickloom.operators import dedup, intervals, latest, membership, normalize, ohlcv
+from tickloom.operators.retention import oldest_date, unexpired
 from tickloom.operators.throttle import throttle
 from tickloom.sinks import publish, storage, tables, tiers
 
@@ -69,17 +70,26 @@ def land_bronze_tiered(
     fan: int = tiers.FAN,
 ) -> StreamingQuery:
     """The same for very many symbols and batches: Bronze lies by day alone, its files sorted by symbol, and
-    the folders of a day are merged as the stream runs. Read it with ``tiers.read``."""
+    the folders of a day are merged as the stream runs. Read it with ``tiers.read``. Beside it,
+    ``-offsets`` keeps the offsets that came, as ranges by the same days, merged in the same way."""
 
     def store(good: DataFrame, batch_id: int) -> None:
         days = [str(r.dt) for r in good.select("dt").distinct().collect()]
         tiers.append(good, path, batch_id, days, _BRONZE_ORDER)
-        for day in days:
-            tiers.merge(good.sparkSession, path, day, batch_id, sort_by=_BRONZE_ORDER, fan=fan)
+        tiers.append(intervals.of(good, "dt"), f"{path}-offsets", batch_id, days)
+        spark, offsets = good.sparkSession, f"{path}-offsets"
+        merges = [partial(tiers.merge, spark, path, day, batch_id, None, _BRONZE_ORDER, fan) for day in days]
+        merges += [partial(tiers.merge, spark, offsets, day, batch_id, intervals.merged, (), fan) for day in days]
+        storage.together(merges)
 
     return _land(decoded_rows, store, quarantine, commits, checkpoint, interval)
 
 
+def landed_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """The offsets of all days that ``land_bronze_tiered`` landed at ``path``, as ranges."""
+    return intervals.merged(tiers.read(spark, f"{path}-offsets").select(*intervals.COLUMNS))
+
+
 def _land(
     decoded_rows: DataFrame,
     store: Callable[[DataFrame, int], None],
@@ -267,6 +277,22 @@ def _merged(spark: SparkSession, fresh: DataFrame, path: str, picked: list[str])
     return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
 
 
+def expire_hot(spark: SparkSession, into: HotTables, as_of: datetime, days: int = 7) -> None:
+    """Delete raw trades and minute states that have expired, to the row; prices stay.
+
+    Days before the border go as whole folders, filters included. The day on the border is rewritten with its
+    live rows. Its filters stay, as admitting too much does no harm. No batch may run at the same time.
+    """
+    border = oldest_date(as_of, days).isoformat()
+    for path, time, order in ((into.raw, "trade_time", _RAW_ORDER), (into.minute, "bucket_ts", _MINUTE_ORDER)):
+        live = partial(unexpired, as_of=as_of, time=time, days=days)
+        tiers.rewrite(spark, path, border, live, order)
+    for path in (into.raw, into.minute, into.seen):
+        for day in tiers.days(spark, path):
+            if day < border:
+                storage.delete(spark, f"{path}/dt={day}")
+
+
 def raw_trades(spark: SparkSession, into: HotTables) -> DataFrame:
     """The stored trades, each once."""
     return tiers.read(spark, into.raw)
@@ -283,6 +309,37 @@ def price_states(spark: SparkSession, into: HotTables) -> DataFrame:
     return storage.read_versions(spark, into.latest, [f"batch_id={newest}"])
 
 
+def price_updates(
+    trades: DataFrame, path: str, checkpoint: str, interval: str | None = HOT_INTERVAL
+) -> StreamingQuery:
+    """The latest price per symbol with Spark's own state, kept in RocksDB on the executors and in the checkpoint.
+
+    There is no watermark, so no trade is too late; copies change nothing, as the largest (time, id) wins. A
+    batch gives the symbols that changed, which replace their rows in ``path`` (``tables.upserted``).
+    """
+    running = latest.partial(trades).select("symbol", "price", "updated")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.upsert(batch, path, "symbol", batch_id)
+
+    spark = trades.sparkSession
+    before = spark.conf.get(_STATE_STORE, None)
+    # A query takes the setting when it starts.
+    spark.conf.set(_STATE_STORE, _ROCKSDB)
+    try:
+        writer = running.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+        return _trigger(writer, interval).start()
+    finally:
+        if before is None:
+            spark.conf.unset(_STATE_STORE)
+        else:
+            spark.conf.set(_STATE_STORE, before)
+
+
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def throttled(
     trades: DataFrame,
     limit: timedelta,
@@ -357,8 +414,8 @@ def windowed_bars(
                 tiers.append(fresh, path, batch_id, days, _MINUTE_ORDER)
         finally:
             fresh.unpersist()
-        for day in days:
-            tiers.merge(batch.sparkSession, path, day, batch_id, ohlcv.merge_states, _MINUTE_ORDER)
+        merge = partial(tiers.merge, batch.sparkSession, path)
+        storage.together([partial(merge, day, batch_id, ohlcv.merge_states, _MINUTE_ORDER) for day in days])
 
     return _start(trades, write, checkpoint, interval)
 
