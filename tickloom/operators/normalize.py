@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions import numbers, text, times
-from tickloom.schema import FEED, FEED_NAMES, HOT_COLUMNS, LOG_POSITION, SILVER_COLUMNS, TRADE
+from tickloom.operators import evolve
+from tickloom.schema import BRONZE, FEED, FEED_NAMES, HOT_COLUMNS, LOG_POSITION, SILVER_COLUMNS, TRADE
 
 _POSITION = {"kafka_partition": "partition", "kafka_offset": "offset", "kafka_timestamp": "timestamp"}
 
@@ -30,13 +32,21 @@ def _parsed(struct: Column) -> Column:
     return F.inline_outer(F.array(struct))
 
 
-def decode_log(records: DataFrame) -> DataFrame:
-    """Log records to Bronze columns, plus the raw value and ``bad_fields``."""
+def decode_log(records: DataFrame, added: StructType | None = None) -> DataFrame:
+    """Log records to Bronze columns, plus the raw value and ``bad_fields``.
+
+    With ``added``, which may be empty, members that no column has are kept in ``rescued``, and those that it
+    declares become columns; what is wrong with them makes no record unusable.
+    """
     checked = records.select(
         _parsed(F.from_json(F.col("value").cast("string"), TRADE)),
         F.col("value").cast("string").alias("raw"),
         *(F.col(source).alias(name) for name, source in _POSITION.items()),
     ).select(*TRADE.fieldNames(), *_POSITION, "raw")
+    if added is not None:
+        evolve.evolved(BRONZE, added)
+        checked = checked.withColumn(evolve.RESCUED, evolve.rescued(F.col("raw"), TRADE.fieldNames()))
+        checked = evolve.widen(checked, added)
     bad = _names(
         *(F.when(F.col(f).isNull(), F.lit(f)) for f in TRADE.fieldNames() if f != "ingested_at"),
         *(

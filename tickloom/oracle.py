@@ -299,6 +299,20 @@ SELECT trade_id, symbol, CASE WHEN trade_id % 10 = 0 THEN price + 1 ELSE price E
        trade_time, event_time, is_buyer_maker, kafka_timestamp FROM trades""",
     "stream_bronze": f"WITH {BRONZE} {_WIRE}",
     "compacted_bronze": f"WITH {BRONZE} {_WIRE}",
+    "log_after_retention": f"""WITH {TRADES},
+parts AS (SELECT kafka_partition, kafka_offset,
+                 kafka_offset // (SELECT MAX(kafka_offset) // 3 + 1 FROM trades) AS part FROM trades)
+SELECT kafka_partition, COUNT(*) FILTER (part <> 1) AS landed, 'gone' AS kind,
+       MAX(kafka_offset) FILTER (part = 0) + 1 AS first_lost,
+       MIN(kafka_offset) FILTER (part = 2) - 1 AS last_lost,
+       (SELECT COUNT(*) FROM parts WHERE part = 0) AS landed_at_stop
+FROM parts GROUP BY kafka_partition""",
+    "evolved_bronze": f"""WITH {TRADES}, bronze AS (SELECT * FROM trades)
+SELECT *, CASE WHEN trade_id % 3 > 0 THEN 'v' || trade_id % 5 END AS venue,
+       CASE WHEN trade_id % 3 > 0 AND trade_id % 50 > 0 THEN trade_id + 0.5::DOUBLE END AS fee,
+       CASE WHEN trade_id % 3 > 0 THEN CASE WHEN trade_id % 50 = 0 THEN 'fee=none,' ELSE '' END
+            || 'note={{"seen":[' || trade_id % 4 || ']}}' END AS rescued
+FROM ({_WIRE})""",
     "log_quarantine": f"""
 SELECT '{_ALL_FIELDS}' AS bad_fields, raw, COUNT(*) AS n
 FROM events, (VALUES ('not json'), ('[]'), ('{{}}'), ('{{"trade_id":"x"}}')) AS bad(raw)

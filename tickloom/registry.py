@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tickloom.operators import (
     audit,
     compare,
     dedup,
+    evolve,
     intervals,
     latest,
     normalize,
@@ -23,11 +25,11 @@ from tickloom.operators import (
 )
 from tickloom.operators.throttle import throttle
 from tickloom.plans import layers, maintenance, serving
-from tickloom.schema import BRONZE, SILVER_COLUMNS, TRADE
+from tickloom.schema import BRONZE, SILVER_COLUMNS, TRADE, record
 from tickloom.session import pin, scratch
 from tickloom.sinks import storage, tables, tiers
 from tickloom.sources import log, samples
-from tickloom.streaming import jobs
+from tickloom.streaming import jobs, position
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -588,6 +590,65 @@ def offset_intervals(spark, sf_dir):
     return intervals.gaps(jobs.landed_offsets(spark, _tiered(spark, sf_dir)))
 
 
+@query
+def log_after_retention(spark, sf_dir):
+    """The log by rising offsets; the first delivery is read, the second expires with it before the stream comes
+    back. Told to stop at a loss it stops and lands nothing; told to record it, it lands the third delivery."""
+    topic, path = scratch(spark, "topic"), scratch(spark, "bronze")
+    rows = samples.log_records(samples.as_bronze(samples.trades(spark, sf_dir)))
+    width = rows.agg(F.max("offset").alias("m")).first()["m"] // PARTS + 1
+
+    def deliver(k):
+        rows.where(F.expr(f"`offset` div {width}L") == k).write.json(f"{topic}/delivery{k}")
+
+    def land(on_loss):
+        decoded = jobs.decoded(log.file_log(spark, f"{topic}/*"))
+        beside = (f"{path}-bad", f"{path}-commits", f"{path}-checkpoint")
+        jobs.land_bronze(decoded, path, *beside, interval=None, on_loss=on_loss).awaitTermination()
+
+    deliver(0)
+    land(position.FAIL)
+    deliver(1)
+    for k in (0, 1):
+        storage.delete(spark, f"{topic}/delivery{k}")
+    deliver(2)
+    stopped = None
+    try:
+        land(position.FAIL)
+    except StreamingQueryException:
+        stopped = spark.read.parquet(path).count()
+    land(position.RECORD)
+    landed = spark.read.parquet(path).groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("landed"))
+    return (
+        landed.join(position.recorded(spark, path), "kafka_partition")
+        .drop("batch_id")
+        .withColumn("landed_at_stop", F.lit(stopped).cast("bigint"))
+    )
+
+
+@query
+def evolved_bronze(spark, sf_dir):
+    """A log whose records gain three members with the second delivery. Two are declared before the third; their
+    columns are there for the second, too. One fee in 50 is a word."""
+    path = scratch(spark, "bronze")
+    records = samples.gaining_members(samples.log_records(samples.as_bronze(samples.trades(spark, sf_dir))), PARTS)
+    added = [record(""), record(""), _ADDED]
+
+    def start(stream):
+        rows, beside = jobs.decoded(stream, added.pop(0)), (f"{path}-bad", f"{path}-commits", f"{path}-checkpoint")
+        return [jobs.land_bronze(rows, path, *beside, interval=None)]
+
+    _deliver(spark, records, F.pmod(F.split("key", ":")[1].cast("bigint"), F.lit(PARTS)), start)
+    found = evolve.read(spark, path, BRONZE, _ADDED)
+    members = F.map_entries(evolve.RESCUED)
+    rest = F.array_join(F.transform(F.array_sort(members), lambda m: F.concat_ws("=", m["key"], m["value"])), ",")
+    return found.withColumn(evolve.RESCUED, rest)
+
+
+#: The change that is declared between the second and the third delivery.
+_ADDED = record("venue string, fee double")
+
+
 @query
 def log_quarantine(spark, sf_dir):
     """What the stream set aside, by its text."""

@@ -25,7 +25,7 @@ _TYPES = {
 def record(text: str) -> StructType:
     """``"name type, name type"`` as a struct; unlike DDL it needs no session."""
     struct = StructType()
-    for field in text.split(","):
+    for field in filter(None, text.split(",")):
         name, kind = field.split()
         struct.add(name, _TYPES[kind])
     return struct

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _THREADS = 8
 
@@ -77,11 +78,15 @@ def values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [n.partition("=")[2] for n in folders(spark, path) if n.startswith(f"{column}=")]
 
 
-def read_versions(spark: SparkSession, path: str, picked: list[str]) -> DataFrame | None:
-    """The folders ``picked`` below a table's path; None without any."""
+def read_versions(
+    spark: SparkSession, path: str, picked: list[str], schema: StructType | None = None, **options: str
+) -> DataFrame | None:
+    """The folders ``picked`` below a table's path, all read with ``schema`` if there is one; None without any."""
     if not picked:
         return None
-    return spark.read.option("basePath", path).parquet(*(f"{path}/{p}" for p in picked))
+    reader = spark.read.option("basePath", path).options(**options)
+    reader = reader if schema is None else reader.schema(schema)
+    return reader.parquet(*(f"{path}/{p}" for p in picked))
 
 
 def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:

@@ -20,6 +20,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.sinks import storage, tables
 
@@ -69,15 +70,22 @@ def is_tiered(spark: SparkSession, day_folder: str) -> bool:
 
 
 def read(
-    spark: SparkSession, path: str, only: Sequence[str] | None = None, before: int | None = None
+    spark: SparkSession,
+    path: str,
+    only: Sequence[str] | None = None,
+    before: int | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame | None:
-    """The rows of all days, or of some; ``batch_id`` is the last batch a row's folder holds. None without any."""
+    """The rows of all days, or of some; ``batch_id`` is the last batch a row's folder holds. None without any.
+
+    ``schema`` gives the columns when the files have not all the same ones.
+    """
     picked = [
         f"dt={day}/{name}"
         for day in (days(spark, path) if only is None else only)
         for name in folders(spark, path, day, before)
     ]
-    found = storage.read_versions(spark, path, picked)
+    found = storage.read_versions(spark, path, picked, schema)
     return None if found is None else found.drop("tier")
 
 
@@ -151,7 +159,9 @@ def _merged(
     sort_by: Sequence[str],
 ) -> None:
     target = f"tier={tier}/batch_id={max(map(_batch, picked))}"
-    rows = storage.read_versions(spark, path, [f"dt={day}/{n}" for n in picked]).drop("dt", "tier", "batch_id")
+    # Folders of before and after a change of the schema may meet here: the union of their columns goes on.
+    rows = storage.read_versions(spark, path, [f"dt={day}/{n}" for n in picked], mergeSchema="true")
+    rows = rows.drop("dt", "tier", "batch_id")
     rows = rows if combine is None else combine(rows)
     rows = rows.hint("rebalance")
     rows = rows.sortWithinPartitions(*sort_by) if sort_by else rows

@@ -119,6 +119,16 @@ def log_records_with_bad(bronze_rows: DataFrame) -> DataFrame:
     return records.withColumn("value", F.explode(values))
 
 
+def gaining_members(records: DataFrame, parts: int) -> DataFrame:
+    """Log records of which all but each ``parts``-th trade have members that the record type does not know."""
+    number = F.split("key", ":")[1].cast("bigint")
+    fee = F.when(number % 50 == 0, F.lit('"none"')).otherwise(F.concat(number.cast("string"), F.lit(".5")))
+    note = F.concat(F.lit('{"seen":['), (number % 4).cast("string"), F.lit("]}"))
+    more = F.concat(F.lit(',"venue":"v'), (number % 5).cast("string"), F.lit('","fee":'), fee, F.lit(',"note":'), note, F.lit("}"))
+    gained = F.concat(F.expr("left(value, length(value) - 1)"), more)
+    return records.withColumn("value", F.when(F.pmod(number, F.lit(parts)) > 0, gained).otherwise(F.col("value")))
+
+
 def wide_amounts(bronze_rows: DataFrame) -> DataFrame:
     """Bronze rows with quantities about the largest that are taken."""
     return bronze_rows.withColumns({"qty": F.col("qty") * 5e18, "quote_qty": F.col("qty") * 3e18})

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from tickloom.operators import dedup, intervals, latest, membership, normalize, ohlcv
 from tickloom.operators.retention import oldest_date, unexpired
 from tickloom.operators.throttle import throttle
 from tickloom.sinks import publish, storage, tables, tiers
+from tickloom.streaming import position
 
 COLD_INTERVAL = "30 seconds"
 HOT_INTERVAL = "10 seconds"
@@ -32,9 +34,9 @@ def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
-def decoded(records: DataFrame) -> DataFrame:
-    """Log records decoded, with the running totals observed as ``ingest``."""
-    rows = normalize.decode_log(records)
+def decoded(records: DataFrame, added: StructType | None = None) -> DataFrame:
+    """Log records decoded, with the running totals observed as ``ingest``; ``added`` as in ``decode_log``."""
+    rows = normalize.decode_log(records, added)
     return rows.observe("ingest", *normalize.counters(rows))
 
 
@@ -45,19 +47,21 @@ def land_bronze(
     commits: str,
     checkpoint: str,
     interval: str | None = COLD_INTERVAL,
+    on_loss: str | None = None,
 ) -> StreamingQuery:
     """Every record of the log lands once: usable ones in Bronze, the others in the quarantine.
 
     Both are written in the same batch, then one row of the commit log says how many rows Bronze got.
     A batch owns the folders that carry its id, so a replay rewrites them, and folders that are
-    closed may be compacted.
+    closed may be compacted. ``on_loss`` says what happens when the log no longer has records that were
+    still to be read (``position``); without it, the source goes on as it is set to.
     """
 
     def store(good: DataFrame, batch_id: int) -> None:
         placed = good.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         tables.overwrite_partitions(placed, path, ["symbol", "dt", "batch_id"])
 
-    return _land(decoded_rows, store, quarantine, commits, checkpoint, interval)
+    return _land(decoded_rows, store, quarantine, commits, checkpoint, interval, path, on_loss)
 
 
 def land_bronze_tiered(
@@ -68,6 +72,7 @@ def land_bronze_tiered(
     checkpoint: str,
     interval: str | None = COLD_INTERVAL,
     fan: int = tiers.FAN,
+    on_loss: str | None = None,
 ) -> StreamingQuery:
     """The same for very many symbols and batches: Bronze lies by day alone, its files sorted by symbol, and
     the folders of a day are merged as the stream runs. Read it with ``tiers.read``. Beside it,
@@ -82,7 +87,7 @@ def land_bronze_tiered(
         merges += [partial(tiers.merge, spark, offsets, day, batch_id, intervals.merged, (), fan) for day in days]
         storage.together(merges)
 
-    return _land(decoded_rows, store, quarantine, commits, checkpoint, interval)
+    return _land(decoded_rows, store, quarantine, commits, checkpoint, interval, path, on_loss)
 
 
 def landed_offsets(spark: SparkSession, path: str) -> DataFrame:
@@ -97,15 +102,24 @@ def _land(
     commits: str,
     checkpoint: str,
     interval: str | None,
+    path: str,
+    on_loss: str | None,
 ) -> StreamingQuery:
+    if on_loss not in (None, position.FAIL, position.RECORD):
+        raise ValueError(f"on_loss is {position.FAIL} or {position.RECORD}, not {on_loss}")
+
     def commit(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
+            if on_loss:
+                position.check(rows, path, batch_id, on_loss)
             good = normalize.valid(rows).withColumn("dt", F.to_date("kafka_timestamp"))
             store(good, batch_id)
             added = good.count()
             bad = normalize.malformed(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             tables.overwrite_partitions(bad, quarantine, ["batch_id"])
+            if on_loss:
+                position.advance(rows, path, batch_id)
         finally:
             rows.unpersist()
         tables.record_commit(batch.sparkSession, commits, batch_id, "append", added)
