@@ -1,6 +1,7 @@
 import html
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ WORDS = "The river rose again last night and the old bridge was closed to carts
         ("<table><tr><td>1<td>2<tr><td>3</table>", "1 2 3"),
         ("<nav><a href=/>menu</a></nav>", ""),
         ("</div></p>text</article>", "text"),
+        ("<p>foo<img src=x>bar <b>ba</b><script>x()</script>z<br>end", "foobar baz end"),
+        ("<p>be<svg><path d=x /></svg>fore<button>no</button><hr>after", "before after"),
     ],
 )
 def test_small_pages(page, expected):
@@ -52,6 +55,20 @@ def test_an_article_without_a_name_is_found_by_density():
     assert main_text(page) == f"One {kept} {kept} Two {kept} {kept}"
 
 
+def test_a_wrong_name_does_not_decide():
+    page = f"""<body><main><p>Read on below.</p></main><article><a href="/x">{WORDS}</a></article>
+    <div><h1>Head</h1><p>{WORDS}<b>{WORDS}</b></p><p>Short.</p><p>{WORDS}</p></div></body>"""
+    kept = " ".join(WORDS.split())
+    found = main_text(page)
+    assert f"Head {kept} {kept} Short. {kept}" in found and found.count(kept) == 3
+
+
+def test_a_sidebar_of_prose_beside_a_named_article():
+    page = f"<body><article><h1>Head</h1><p>{WORDS}</p><p>{WORDS}</p></article><div><p>{WORDS}</p></div></body>"
+    kept = " ".join(WORDS.split())
+    assert main_text(page) == f"Head {kept} {kept}"
+
+
 def test_a_deep_page_and_one_with_many_tags():
     assert main_text("<div>" * 20_000 + "x") == "x"
     assert main_text("<p>a b</p>" * 50_000) == " ".join(["a b"] * 50_000)
@@ -72,6 +89,15 @@ def test_query(spark, sf_dir):
         assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
 
 
+@pytest.mark.parametrize("name", ["div", "section", "center"])
+def test_names_of_articles_do_not_matter(sf_dir, name):
+    """The same text comes from pages whose article is any other element."""
+    for row in pq.read_table(f"{sf_dir.replace('0.001', '0.01')}/pages.parquet", columns=["html"]).to_pylist():
+        page = row["html"]
+        other = re.sub(r"<(/?)(?:article|main)(?=[\s>])", rf"<\1{name}", page)
+        assert other != page and main_text(other) == main_text(page) != ""
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     found = odd_docs.select("text", extracted(F.col("text")).alias("t")).collect()
     assert len(found) == len(odd_rows)

@@ -10,9 +10,11 @@ with C characters, T tags, LC characters and LT tags of links, NC characters out
 link characters and characters of the body, zero divisors taken as 1. The base is e or more, so that
 it is defined where a page has no link.
 
-The subtree with the largest sum of its children's densities is the core of the article. The least
-density on its path to the body is the threshold: the selection grows to the element around it
-that is an article by name, or else over each ancestor with another part as dense as that.
+Tags of running text other than links (bold, line breaks and the like) are not counted, and what a node says
+itself is a child of its own. The subtree with the largest sum of its children's densities is the core of the
+article; of equal sums, the outermost. The least density on its path to the body is the threshold: the selection
+grows over each ancestor with another part as dense as that, up to the outermost article by name that holds
+the core. No element is taken for its name.
 """
 
 from __future__ import annotations
@@ -33,6 +35,13 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Elements that stand in a line of text, and end no word: shown in it, or not shown at all.
+IN_LINE = frozenset(
+    "area audio button canvas embed iframe img input label link meta meter noscript object picture progress script "
+    "select source style svg template track video".split()
+)
+#: Elements that are no structure: they do not count as tags.
+RUNNING = INLINE - {"a"} | VOID
 #: A start tag of the key ends an open element of the value.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -80,7 +89,8 @@ def _apart(tag: str, attributes: str, inside_article: bool) -> bool:
         if name == "style" and HIDDEN.search(value):
             return True
         if name in ("class", "id", "role") and tag not in WHOLE:
-            words = set(WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+            parted = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
+            words = {*WORD.findall(value.lower()), *WORD.findall(parted.lower())}
             if words & APART_WORDS or not inside_article and "header" in words <= PAGE_HEADER:
                 return True
     return False
@@ -140,14 +150,14 @@ class Page:
             if m.lastindex is None or m[2] is None:
                 continue
             tag = m[2].lower()
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in IN_LINE and self.counts["svg"] <= 0:
                 self.texts.append((self.open[-1], None))
             if m[1]:
                 self._close_first({tag}, frozenset())
                 continue
             if tag in ENDS:
                 self._close_first(ENDS[tag], SCOPE - ENDS[tag])
-            elif tag not in INLINE and tag not in VOID:
+            elif tag not in INLINE and tag not in VOID and tag not in IN_LINE:
                 self._close_first({"p"}, SCOPE)
             node, parent = len(self.tags), self.open[-1]
             inside = any(self.counts[name] > 0 for name in ARTICLES)
@@ -170,6 +180,7 @@ class Page:
         for node, text in self.texts:
             if text and not self.apart[node]:
                 chars[node] += len(" ".join(unescape(text).split()))
+        own = chars.copy()
         for node in range(n - 1, 0, -1):
             if self.apart[node]:
                 continue
@@ -177,34 +188,39 @@ class Page:
             if self.tags[node] == "a":
                 link_chars[node] = chars[node]
             chars[up] += chars[node]
-            tags[up] += tags[node] + 1
+            tags[up] += tags[node] + (self.tags[node] not in RUNNING)
             link_chars[up] += link_chars[node]
             link_tags[up] += link_tags[node] + (self.tags[node] == "a")
         body = next((i for i in range(n) if self.tags[i] == "body" and not self.apart[i]), 0)
         ratio = link_chars[body] / max(1, chars[body])
 
+        def dense(c: int, t: int, lc: int, lt: int) -> float:
+            base = e - 1 + log(c / max(1, c - lc) * lc + ratio * c + e)
+            return c / max(1, t) * log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / log(base)
+
         density, sums = [0.0] * n, [0.0] * n
         for node in range(n - 1, -1, -1):
-            c, t, lc, lt = chars[node], max(1, tags[node]), link_chars[node], link_tags[node]
-            if c and not self.apart[node]:
-                base = e - 1 + log(c / max(1, c - lc) * lc + ratio * c + e)
-                adjusted = log(max(1.0, c / max(1, lc) * t / max(1, lt)))
-                density[node] = c / t * adjusted / log(base)
+            if self.apart[node]:
+                continue
+            if chars[node]:
+                density[node] = dense(chars[node], tags[node], link_chars[node], link_tags[node])
+            if own[node] and self.tags[node] != "a":
+                sums[node] += dense(own[node], 1, 0, 0)
             if node:
                 sums[self.parents[node]] += density[node]
         best = body
         for node in range(body, self.ends[body]):
-            if not self.apart[node] and max(sums[node], density[node]) > max(sums[best], density[best]):
+            if not self.apart[node] and sums[node] > sums[best]:
                 best = node
         path = [best]
         while path[-1] != body and path[-1]:
             path.append(self.parents[path[-1]])
         threshold = min(density[node] for node in path)
-        named = [node for node in path if self.tags[node] in ARTICLES]
-        if named:
-            return named[-1]
+        # What an author names an article ends there: a bound, which takes nothing in by itself.
+        named = [depth for depth, node in enumerate(path) if self.tags[node] in ARTICLES]
+        within = path[: named[-1] + 1] if named else path
         chosen = best
-        for below, node in zip(path, path[1:]):
+        for below, node in zip(within, within[1:]):
             other = node + 1
             while other < self.ends[node]:
                 if other != below and density[other] >= threshold and not self.apart[other] and chars[other]:
