@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from tickloom.session import scratch
+from tickloom.sinks import storage
 
 #: Bytes of text that one step of a vectorised operator takes at a time.
 STEP_BYTES = 4 << 20
@@ -29,6 +30,13 @@ def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete written tables whose rows nothing that is still to run reads."""
+    for frame in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            storage.delete(frame.sparkSession, folder)
+
+
 def fresh(frame: DataFrame, *wanted: str) -> list[str]:
     """Names for working columns that no column of the frame has, whatever its case."""
     taken = {c.lower() for c in frame.columns}
