@@ -173,3 +173,19 @@ def test_only_days_of_possible_copies_are_opened(spark, hot_rows, tmp_path):
     assert jobs.raw_trades(spark, into).count() == first.count() + 1
     unknown = new.withColumns({"dt": F.to_date("trade_time"), "trade_id": F.lit(-5).cast("bigint")})
     assert jobs.stored_copies(unknown, 2, into) is None
+
+
+def test_rows_of_a_batch_do_not_depend_on_what_it_writes(spark, hot_rows, tmp_path, monkeypatch):
+    """Spark forgets cached rows whose plan reads a table that is written to, and works them out again."""
+    into = jobs.HotTables.under(str(tmp_path / "hot"))
+    jobs.write_hot_batch(hot_rows.where("trade_id % 2 = 0"), 0, into)
+    read, unseen = [], dedup.unseen
+
+    def seen(rows, stored):
+        read.extend(stored.inputFiles())
+        return unseen(rows, stored)
+
+    monkeypatch.setattr(dedup, "unseen", seen)
+    jobs.write_hot_batch(hot_rows, 1, into)
+    assert read and not [f for f in read if any(f"{path}/" in f for path in (into.raw, into.seen))]
+    assert jobs.raw_trades(spark, into).count() == dedup.latest(hot_rows).count()

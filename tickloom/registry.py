@@ -470,10 +470,15 @@ def _run_log(spark, sf_dir, start):
 
 
 def _deliver(spark, rows, part, start):
-    topic = scratch(spark, "topic")
+    topic, read = scratch(spark, "topic"), "delivery"
+    # One pass makes all parts; a delivery comes when its folder gets the name that the stream reads.
+    rows.withColumn("part", part.cast("int")).write.partitionBy("part").json(topic)
     for k in range(PARTS):
-        rows.where(part == k).write.mode("append").json(topic)
-        for running in start(log.file_log(spark, topic)):
+        if storage.exists(spark, f"{topic}/part={k}"):
+            storage.rename(spark, f"{topic}/part={k}", f"{topic}/{read}{k}")
+        else:
+            rows.limit(0).write.json(f"{topic}/{read}{k}")
+        for running in start(log.file_log(spark, f"{topic}/{read}*")):
             running.awaitTermination()
 
 
