@@ -175,6 +175,35 @@ def test_only_days_of_possible_copies_are_opened(spark, hot_rows, tmp_path):
     assert jobs.stored_copies(unknown, 2, into) is None
 
 
+def jobs_of(spark, work):
+    """How many jobs ``work`` runs, in whatever threads."""
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    work()
+    return len(set(tracker.getJobIdsForGroup(None)) - before)
+
+
+def test_compaction_runs_no_job_per_day(spark, hot_rows, tmp_path):
+    """The same trades dealt to three and to nine days, in three batches; each day ends with one folder of its rows."""
+    counts = []
+    for n in (3, 9):
+        into = jobs.HotTables.under(str(tmp_path / f"hot{n}"))
+        spread = F.make_dt_interval(F.pmod(F.col("trade_id") * 7 + 1, F.lit(n)).cast("int"))
+        rows = dedup.latest(hot_rows).withColumn("trade_time", F.date_trunc("day", F.lit(f"{DAY} 00:00:00").cast("timestamp")) + spread)
+        for batch in range(3):
+            jobs.write_hot_batch(rows.where(F.pmod("trade_id", F.lit(3)) == batch), batch, into)
+        before = jobs.minute_states(spark, into).collect()
+        counts.append(jobs_of(spark, lambda: jobs.compact_hot(spark, into)))
+        assert len(tiers.days(spark, into.raw)) == n
+        for path in (into.raw, into.seen, into.minute):
+            assert all(len(tiers.folders(spark, path, day)) == 1 for day in tiers.days(spark, path))
+        assertDataFrameEqual(tiers.read(spark, into.minute).select(*jobs.minute_states(spark, into).columns), before)
+        assert jobs.raw_trades(spark, into).count() == rows.count()
+        jobs.write_hot_batch(rows, 3, into)
+        assert jobs.raw_trades(spark, into).count() == rows.count()
+    assert counts[0] >= counts[1]
+
+
 def test_rows_of_a_batch_do_not_depend_on_what_it_writes(spark, hot_rows, tmp_path, monkeypatch):
     """Spark forgets cached rows whose plan reads a table that is written to, and works them out again."""
     into = jobs.HotTables.under(str(tmp_path / "hot"))

@@ -721,8 +721,7 @@ def stream_old_copies(spark, sf_dir):
 def compacted_hot(spark, sf_dir):
     """The minute states as they lie in the table after three deliveries and a rewrite of every day."""
     into = _hot(spark, sf_dir)
-    for day in tiers.days(spark, into.minute):
-        jobs.merge_hot(spark, into, day, whole=True)
+    jobs.compact_hot(spark, into)
     stored = tiers.read(spark, into.minute)
     names = ["symbol", "bucket_ts", "open_price", "close_price", "high", "low", "trade_count"]
     return stored.select(*names, *(F.col(c).cast("double").alias(c) for c in ("volume", "quote_volume")))

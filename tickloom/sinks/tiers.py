@@ -140,6 +140,36 @@ def merge_all(
         _merged(spark, path, day, names, max(map(_tier, names)) + 1, combine, sort_by)
 
 
+def merge_days(
+    spark: SparkSession,
+    path: str,
+    combine: Callable[[DataFrame], DataFrame] | None = None,
+    sort_by: Sequence[str] = (),
+) -> None:
+    """``merge_all`` for every day. Days whose merged folders have the same name are one job, as a job for each would
+    leave a cluster idle; so ``combine`` gets rows of several days, and keeps their ``dt``."""
+    alike: dict[tuple[int, int], dict[str, list[str]]] = {}
+    for day in days(spark, path):
+        names = folders(spark, path, day)
+        if len(names) > 1:
+            target = max(map(_tier, names)) + 1, max(map(_batch, names))
+            alike.setdefault(target, {})[day] = names
+    for (tier, batch), picked in alike.items():
+        found = [f"dt={day}/{n}" for day, names in picked.items() for n in names]
+        rows = storage.read_versions(spark, path, found, mergeSchema="true").drop("tier", "batch_id")
+        rows = rows if combine is None else combine(rows)
+        placed = rows.withColumns({"tier": F.lit(tier), "batch_id": F.lit(batch).cast("bigint")})
+        tables.overwrite_partitions(placed, path, ["dt", "tier", "batch_id"], sort_by)
+        storage.together([partial(_replace, spark, path, day, names, tier, batch) for day, names in picked.items()])
+
+
+def _replace(spark: SparkSession, path: str, day: str, picked: list[str], tier: int, batch: int) -> None:
+    """List the merged folder in place of those picked; whatever was added meanwhile stays listed."""
+    rest = [n for n in folders(spark, path, day) if n not in picked]
+    _switch(spark, path, day, [*rest, f"tier={tier}/batch_id={batch}"])
+    sweep(spark, path, day)
+
+
 def rewrite(
     spark: SparkSession, path: str, day: str, change: Callable[[DataFrame], DataFrame], sort_by: Sequence[str] = ()
 ) -> None:
@@ -158,7 +188,8 @@ def _merged(
     combine: Callable[[DataFrame], DataFrame] | None,
     sort_by: Sequence[str],
 ) -> None:
-    target = f"tier={tier}/batch_id={max(map(_batch, picked))}"
+    batch = max(map(_batch, picked))
+    target = f"tier={tier}/batch_id={batch}"
     # Folders of before and after a change of the schema may meet here: the union of their columns goes on.
     rows = storage.read_versions(spark, path, [f"dt={day}/{n}" for n in picked], mergeSchema="true")
     rows = rows.drop("dt", "tier", "batch_id")
@@ -166,10 +197,7 @@ def _merged(
     rows = rows.hint("rebalance")
     rows = rows.sortWithinPartitions(*sort_by) if sort_by else rows
     rows.write.mode("overwrite").option("compression", tables.CODEC).parquet(f"{path}/dt={day}/{target}")
-    # Whatever was added meanwhile stays listed.
-    rest = [n for n in folders(spark, path, day) if n not in picked]
-    _switch(spark, path, day, [*rest, target])
-    sweep(spark, path, day)
+    _replace(spark, path, day, picked, tier, batch)
 
 
 def sweep(spark: SparkSession, path: str, day: str) -> None:
