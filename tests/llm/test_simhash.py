@@ -1,3 +1,4 @@
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -118,3 +119,21 @@ def test_rows_that_repeat_an_id_with_other_texts_stay(make_docs):
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.keep_one(no_docs).count() == 0
+
+
+def test_bits_are_counted_in_bounded_memory(monkeypatch):
+    """4 MB of texts, one of them a quarter of it, take a few times their size; blocks may part a text anywhere."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, n)).encode() for n in (180_000, *[600] * 900)]
+    tracemalloc.start()
+    try:
+        whole = simhash._fingerprints(texts)
+        assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    finally:
+        tracemalloc.stop()
+    assert whole[5].as_py() == np.array(brute(texts[5].decode()), dtype=np.uint64).view(np.int64)
+    few = [" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in (3, 1, 40, 7, 4, 90, 5, 2)]
+    expected = [brute(t) for t in few]
+    for block in (1, 2, 7, 38, 39, 1000):
+        monkeypatch.setattr(simhash, "VOTERS", block)
+        assert [x.as_py() & (1 << 64) - 1 for x in simhash._fingerprints([t.encode() for t in few])] == expected

@@ -33,6 +33,25 @@ COVERING_RADIUS = 1
 THRESHOLD = 2
 SEED = 42
 SHINGLE = 3
+#: Hashes whose bits are counted at a time.
+VOTERS = 1 << 15
+
+
+def _majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For groups of these sizes laid end to end: the bits set in over half of a group's hashes.
+
+    A bit takes five bytes while it is counted, so this is done for a few hashes at a time, however long a text is.
+    """
+    starts = np.cumsum(counts) - counts
+    votes = np.zeros((len(counts), 64), dtype=np.int32)
+    for low in range(0, len(hashes), VOTERS):
+        part = hashes[low : low + VOTERS]
+        first, end = np.searchsorted(starts, [low, low + len(part)], side="left")
+        first -= first == len(starts) or starts[first] > low
+        begin = np.maximum(starts[first:end] - low, 0)
+        bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        votes[first:end] += np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
+    return np.packbits(votes * 2 > counts[:, None], axis=1).view(">u8")[:, 0]
 
 
 def _fingerprints(texts: list[bytes | None]) -> pa.Array:
@@ -52,12 +71,7 @@ def _fingerprints(texts: list[bytes | None]) -> pa.Array:
         counts.append(n)
         rows.append(row)
     if rows:
-        counts = np.array(counts)
-        starts = np.cumsum(counts) - counts
-        raw = np.concatenate(hashes).astype(">u8").view(np.uint8).reshape(-1, 8)
-        votes = np.add.reduceat(np.unpackbits(raw, axis=1), starts, axis=0, dtype=np.int32)
-        bits = np.packbits(votes * 2 > counts[:, None], axis=1)
-        out[rows] = bits.view(">u8")[:, 0]
+        out[rows] = _majority(np.concatenate(hashes), np.array(counts))
     return pa.array(out.view(np.int64))
 
 
