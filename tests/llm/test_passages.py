@@ -345,3 +345,68 @@ def test_shuffled_data_is_deleted_once_written(spark, tmp_path):
     with swept(spark):
         assert spark.conf.get(name) == "true"
     assert spark.conf.get(name, None) == before
+
+
+def test_near_passages_of_one_class_are_all_in_spans(make_docs):
+    """Two documents hold a passage and a variant of it; documents before them, linked to them by another passage, hold
+    variants below the similarity, but all its shingles between them."""
+    rng = random.Random(41)
+    texts, wanted = [], []
+    for group in range(30):
+        link, passage = words(rng, 60), words(rng, LEAST)
+        edited = [*passage[:25], "other", *passage[26:]]
+        variants = [list(passage) for _ in range(2)]
+        for variant, places in zip(variants, ((12, 36), (4, 30))):
+            for at in places:
+                variant[at] = f"variant{at}"
+        for part in (*variants, passage, edited):
+            wanted += [(len(texts), 100, LEAST)] if part in (passage, edited) else []
+            texts.append((len(texts), " ".join([*link, *words(rng, 40), *part, *words(rng, 40)])))
+    found = {r.id: r for r in passages.repeated_passages(make_docs(texts)).collect()}
+    assert all(found[i]["class"] == i // 4 * 4 for i in found)
+    assert all(set(range(at, at + size)) <= spans(found[i]) for i, at, size in wanted)
+
+
+def test_copies_in_one_document_are_all_in_spans(make_docs):
+    """A passage stands twice in one document; the other has it with words replaced."""
+    rng = random.Random(42)
+    texts, wanted = [], []
+    for group in range(10):
+        passage = words(rng, 130)
+        edited = [word if at % 44 != 22 else "other" for at, word in enumerate(passage)]
+        twice = [*words(rng, 30), *passage, *words(rng, 30), *passage, *words(rng, 30)]
+        wanted.append((len(texts), {*range(30, 160), *range(190, 320)}))
+        texts += [(len(texts), " ".join(twice)), (len(texts) + 1, " ".join([*words(rng, 30), *edited, *words(rng, 30)]))]
+    found = {r.id: r for r in passages.repeated_passages(make_docs(texts)).collect()}
+    assert all(expected <= spans(found[i]) for i, expected in wanted)
+
+
+def test_a_part_at_another_place_is_verified_beside_one_at_the_same():
+    rng = random.Random(43)
+    first, second, own = words(rng, 60), words(rng, 60), words(rng, 60)
+    found = passages.verified(" ".join(first + second + own).encode(), " ".join(first + own[::-1] + second).encode())
+    assert {p for s in found for p in range(s["start"], s["stop"])} == set(range(120))
+    assert {p for s in found for p in range(s["other_start"], s["other_stop"])} == {*range(60), *range(120, 180)}
+
+
+def test_missing_tokens_choose_the_pairs():
+    """Windows of a value are compared only with those that have a token which is missing in their documents' spans."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(44)
+    common, own = rng.integers(0, 2**32, 45, dtype=np.uint32), rng.integers(0, 2**32, 20, dtype=np.uint32)
+    rows = []
+    for doc in range(40):
+        extra = own[doc // 2 :][:1] if doc < 4 else own[:0]
+        rows.append((doc, np.concatenate([common, extra, common[:3]]), np.concatenate([extra, extra])))
+    columns = {"doc": list(range(40)), "key": [5 if doc % 40 != 3 else 6 for doc in range(40)]}
+    columns |= {name: pa.array([0] * 40, pa.int32()) for name in ("i", "first", "last", "lost")}
+    columns |= {"least": pa.array([0] * 40, pa.int32())} | {name: [0] * 40 for name in passages.SKETCH}
+    columns |= {"tokens": [t.tobytes() for _, t, _ in rows], "missing": [m.tobytes() for _, _, m in rows]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    order = pa.array(np.argsort(np.array(columns["key"]), kind="stable"))
+    batch = batch.take(order)
+    for size in (3, 40):
+        parts = [batch.slice(at, size) for at in range(0, 40, size)]
+        pairs = {(a, b) for p in passages._worth(iter(parts)) for a, b in zip(p["a_doc"].to_pylist(), p["b_doc"].to_pylist())}
+        assert pairs == {(0, 1), (1, 0)}
